@@ -59,7 +59,8 @@ def order_statistics(
     )
     stats = stats.filter("_n > 0").select(*keys, brackets.alias("_b"))
     if keys:
-        paired = rows.join(stats, keys)
+        # written first: its real size decides whether the join is a broadcast
+        paired = rows.join(materialize(stats, "brackets"), keys)
     else:
         paired = rows.withColumn("_b", stats.scalar())
     hits = paired.select(*keys, "_v", F.explode("_b").alias("b")).filter("_v <= b.hi")
