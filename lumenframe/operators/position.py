@@ -109,9 +109,13 @@ def running_sums(
     order: Sequence[str],
     sums: Sequence[str],
     following: str | None = None,
+    totals: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Running sums ``cum_<col>`` per key in ``order``, and with ``following`` the next value of that column.
+    """Running sums ``cum_<col>`` per key in ``order``.
+
+    ``following`` adds ``next_<col>``, the value of that column in the next row of the key; ``totals``
+    adds ``tot_<col>``, the sum over the whole key.
 
     (keys, order) must be unique. The rows are range-partitioned once and written; each range is
     summed on its own, and the totals of the ranges before it are added. A key that holds most of
@@ -124,15 +128,16 @@ def running_sums(
         df.repartitionByRange(parts, *keys, *order).withColumn("_pid", F.spark_partition_id()), "ranges"
     )
     head = [F.min_by(following, F.struct(*order)).alias("_head")] if following else []
-    totals = ranged.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], *head)
+    per_range = ranged.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], *head)
     # one row per range and key
     by_range = Window.partitionBy(*keys).orderBy("_pid")
     before = by_range.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    offsets = per_range.select(
         "_pid",
         *keys,
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums],
         *([F.lead("_head").over(by_range).alias("_next_head")] if following else []),
+        *([F.sum(f"_t_{c}").over(Window.partitionBy(*keys)).alias(f"tot_{c}") for c in sums] if totals else []),
     )
     inside = Window.partitionBy("_pid", *keys).orderBy(*order)
     local = ranged.select(
@@ -145,6 +150,7 @@ def running_sums(
         *df.columns,
         *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sums],
         *([F.coalesce("_next_in", "_next_head").alias(f"next_{following}")] if following else []),
+        *([f"tot_{c}" for c in sums] if totals else []),
     )
 
 

@@ -98,3 +98,15 @@ def zscore(df: DataFrame, keys: Sequence[str], col: str, out: str = "z") -> Data
         rows = df.withColumn("_mean", one["_mean"]).withColumn("_dev", one["_dev"])
     z = F.try_divide(F.col(col) - F.col("_mean"), F.nullif(F.col("_dev"), F.lit(0.0)))
     return rows.withColumn(out, z).drop("_mean", "_dev")
+
+
+def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns with mean 0 and population deviation 1 over the table; a constant column becomes 0."""
+    cols = list(cols)
+    moments = [F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in cols]
+    one = df.agg(F.struct(*moments)).scalar()
+    scaled = {
+        c: F.coalesce(F.try_divide(F.col(c) - one[c]["m"], F.nullif(one[c]["s"], F.lit(0.0))), F.lit(0.0)).alias(c)
+        for c in cols
+    }
+    return df.select(*[scaled.get(c, F.col(c)) for c in df.columns])
