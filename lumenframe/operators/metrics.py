@@ -130,3 +130,17 @@ def aic(residual: Column, parameters: Column) -> Column:
     """n ln(SSE / n) + 2 k over the rows of a group."""
     n = F.count(residual)
     return n * F.ln(F.sum(residual * residual) / n) + parameters * 2
+
+
+def binary_scores(df: DataFrame, truth: str, pred: str) -> DataFrame:
+    """Accuracy (percent), F1 of class 1 and the area under the curve of the hard labels, in one row."""
+    t, p = F.col(truth) == 1, F.col(pred) == 1
+    counts = df.agg(
+        F.count_if(t & p).alias("tp"), F.count_if(~t & p).alias("fp"), F.count_if(t & ~p).alias("fn"), F.count_if(~t & ~p).alias("tn")
+    )
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return counts.select(
+        (_ratio(tp + tn, tp + fp + fn + tn) * 100).alias("accuracy"),
+        _ratio(tp * 2.0, tp * 2 + fp + fn).alias("f1"),
+        ((F.try_divide(tp, tp + fn) + F.try_divide(tn, tn + fp)) / 2).alias("auc"),
+    )

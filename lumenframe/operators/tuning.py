@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterable, Mapping
+import random
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.operators.metrics import holdout_scores
+
 
 def grid_rows(space: Mapping[str, Iterable]) -> list[dict]:
     return [dict(zip(space, values)) for values in itertools.product(*space.values())]
@@ -19,3 +26,54 @@ def with_grid(df: DataFrame, space: Mapping[str, Iterable]) -> DataFrame:
     for name, values in space.items():
         out = out.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
     return out
+
+
+@dataclass(frozen=True)
+class IntRange:
+    low: int
+    high: int
+
+    def draw(self, rng: random.Random) -> int:
+        return rng.randint(self.low, self.high)
+
+
+@dataclass(frozen=True)
+class FloatRange:
+    low: float
+    high: float
+
+    def draw(self, rng: random.Random) -> float:
+        return rng.uniform(self.low, self.high)
+
+
+@dataclass(frozen=True)
+class Choice:
+    values: tuple
+
+    def draw(self, rng: random.Random):
+        return rng.choice(self.values)
+
+
+def draws(space: Mapping[str, IntRange | FloatRange | Choice], trials: int, seed: int) -> list[dict]:
+    """``trials`` seeded random parameter sets."""
+    rng = random.Random(seed)
+    return [{name: kind.draw(rng) for name, kind in space.items()} for _ in range(trials)]
+
+
+def run_trials(
+    train: DataFrame, test: DataFrame, build: Callable[[dict], Estimator], trials: Sequence[dict], parallelism: int = 4
+) -> list[tuple[dict, float, float]]:
+    """(parameters, accuracy, weighted F1) per parameter set on one holdout; fits are parallel Spark jobs."""
+
+    def run(params: dict) -> tuple[dict, float, float]:
+        scored = build(params).fit(train).transform(test)
+        row = holdout_scores(scored, "label", "prediction").first()
+        return params, row["accuracy"], row["f1"]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(run), trials))
+
+
+def best_trial(results: Sequence[tuple[dict, float, float]]) -> int:
+    """Index of the greatest F1; the first wins ties."""
+    return max(range(len(results)), key=lambda i: (round(results[i][2], 12), -i))
