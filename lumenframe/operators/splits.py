@@ -11,10 +11,13 @@ from lumenframe.operators.position import order_statistics, running_sums
 
 
 def holdout_ordered(df: DataFrame, key: str, part: float) -> DataFrame:
-    """Column ``part``: the last ceil(n * part) rows by the unique ``key`` are 'test', the rest 'train'."""
-    cut = order_statistics(
-        df, [], key, {"cut": (1 - part, lambda n: n - F.ceil(n * part))}
-    ).select("lo").scalar()
+    """Column ``part``: the last ceil(n * part) rows by the unique ``key`` are 'test', the rest 'train'.
+
+    The cut is found first, as one value, so that a filter on the part becomes a filter on the key
+    that reaches the scan.
+    """
+    found = order_statistics(df, [], key, {"cut": (1 - part, lambda n: n - F.ceil(n * part))}).first()
+    cut = F.lit(found["lo"] if found else None)
     return df.withColumn("part", F.when(F.col(key) < cut, F.lit("train")).otherwise(F.lit("test")))
 
 

@@ -88,10 +88,11 @@ def encode_ids(df: DataFrame, key: str, text: str, ids: DataFrame, length: int =
     """
     room = length - 2
     tokens = df.select(key, F.posexplode_outer(words(F.col(text))).alias("pos", "term"))
-    coded = tokens.join(materialize(ids, "ids"), "term", "left").select(
+    codes = materialize(ids.select("term", F.col("id").alias("_code")), "ids")
+    coded = tokens.join(codes, "term", "left").select(
         key,
         F.floor(F.coalesce("pos", F.lit(0)) / room).cast("int").alias("block"),
-        F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNKNOWN)).alias("id"))).alias("item"),
+        F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("_code", F.lit(UNKNOWN)).alias("id"))).alias("item"),
     )
     blocks = coded.groupBy(key, "block").agg(F.sort_array(F.collect_list("item")).alias("_i"))
     real = F.concat(F.array(F.lit(START)), F.col("_i.id"), F.array(F.lit(END)))

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions.impurity import gain
-from lumenframe.operators.metrics import majority_vote
 from lumenframe.operators.position import running_sums
 from lumenframe.operators.prep import categories
 from lumenframe.sources.scratch import materialize
@@ -88,8 +87,10 @@ def grow_tree(
     names = F.array(*[F.lit(f) for f in features])
     levels: list[DataFrame] = []
     for level in range(depth + 1):
-        counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-        stats = counts.join(majority_vote(rows, ["node"], "y", "cls", "w"), "node")
+        per_class = rows.groupBy("node", "y").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"))
+        stats = per_class.groupBy("node").agg(
+            F.sum("n").alias("n"), F.min(F.struct((-F.col("w")).alias("w"), "y"))["y"].alias("cls")
+        )
         if level == depth:
             levels.append(stats.select("node", F.lit(None).cast("string").alias("feature"), F.lit(None).cast("double").alias("thr"), "n", "cls"))
             break

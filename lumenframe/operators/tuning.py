@@ -71,7 +71,7 @@ def run_trials(
         return params, row["accuracy"], row["f1"]
 
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(run), trials))
+        return list(pool.map(inheritable_thread_target(train.sparkSession)(run), trials))
 
 
 def best_trial(results: Sequence[tuple[dict, float, float]]) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lumenframe.functions.tokens import WORD, letters
 from lumenframe.operators.profile import standardize
 from lumenframe.sources.scratch import materialize
-from lumenframe.sources.tables import table
+from lumenframe.sources.tables import spread, table
 
 SHAPE = ("n_chars", "words", "line_cnt", "mean_len")
 
@@ -24,11 +24,16 @@ docz AS (SELECT doc_id, quality, """ + ", ".join(
 ) + " FROM docx)"
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id and text, spread over the cores."""
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+
+
 def doc_shape(spark: SparkSession, sf: str) -> DataFrame:
     """doc_id, the four SHAPE columns as doubles, quality; written once, as the texts are costly to scan again."""
     text = F.col("text")
     words = F.regexp_count(text, F.lit(WORD)).cast("double")
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "n_chars"), "doc_id").select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         words.alias("words"),

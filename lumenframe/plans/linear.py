@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lumenframe.functions.scalars import threshold_class
 from lumenframe.operators import linear as L
-from lumenframe.operators.metrics import regression_errors
 from lumenframe.operators.splits import holdout_hashed
 from lumenframe.plans.features import DOCZ_SQL, SHAPE, doc_shape_scaled
 from lumenframe.plans.prep import round_doubles
@@ -106,7 +106,7 @@ def ridge_classifier(spark, sf):
     """Ridge on a -1/+1 target with a free intercept; the class is the sign."""
     rows = doc_shape_scaled(spark, sf).withColumn("y", F.col("quality") * 2 - 1)
     score = L.linear_score(L.ridge(rows, ["n_chars", "mean_len"], "y", 1.0, penalize_intercept=False))
-    return rows.select("doc_id", F.when(score > 0, 1).otherwise(0).alias("pred"), F.round(score, 6).alias("score"))
+    return rows.select("doc_id", threshold_class(score).alias("pred"), F.round(score, 6).alias("score"))
 
 
 @query("gd_one_step", f"WITH {DOCZ_SQL} " + " UNION ALL ".join(

@@ -17,12 +17,11 @@ from lumenframe.operators import tuning
 from lumenframe.operators import wrappers as W
 from lumenframe.operators.metrics import classification_report
 from lumenframe.operators.splits import holdout_hashed
-from lumenframe.plans.features import SHAPE, doc_shape_scaled
+from lumenframe.plans.features import SHAPE, doc_shape_scaled, texts
 from lumenframe.plans.prep import round_doubles
 from lumenframe.plans.registry import query
 from lumenframe.plans.text import EDGES, LABELS, TOP, TOP_BAYES, compounds, counted, train_part
 from lumenframe.sources.scratch import materialize
-from lumenframe.sources.tables import table
 
 ROUNDS = 5
 
@@ -98,7 +97,7 @@ def term_parts(spark, sf, size):
     train_counts, train = train_part(counts, labels)
     best = Sel.top_terms(Sel.chi2_scores(train_counts, train, "doc_id", "quality"), size)
     terms = [r["term"] for r in best.orderBy("rank").collect()]
-    docs = table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id")
+    docs = texts(spark, sf).join(labels, "doc_id")
     rows = M.term_vectors(
         docs.withColumn("label", F.col("quality").cast("double")), "text", terms, ["doc_id", "label", "part"]
     )
@@ -156,7 +155,7 @@ def text_classifier(spark, sf):
     """Sentiment class from hashed term weights by a multinomial linear model; report on the holdout."""
     label = scalars.category_code(scalars.cut_right(F.col("compound"), EDGES, LABELS), LABELS)
     classes = compounds(spark, sf).select("doc_id", label.cast("double").alias("label")).filter("label >= 0")
-    docs = table(spark, sf, "documents").select("doc_id", words(F.col("text")).alias("words"))
+    docs = texts(spark, sf).select("doc_id", words(F.col("text")).alias("words"))
     counts = HashingTF(inputCol="words", outputCol="tf", numFeatures=2**14).transform(docs.join(classes, "doc_id"))
     rows = holdout_hashed(materialize(counts.select("doc_id", "label", "tf"), "hashed"), "doc_id", 70)
     train, test = rows.filter("part = 'train'"), rows.filter("part = 'test'")

@@ -10,6 +10,7 @@ from lumenframe.functions.tokens import raw_tokens
 from lumenframe.operators import selection as Sel
 from lumenframe.operators import text as T
 from lumenframe.operators.splits import holdout_hashed
+from lumenframe.plans.features import texts
 from lumenframe.plans.prep import round_doubles
 from lumenframe.plans.registry import query
 from lumenframe.sources.scratch import materialize
@@ -79,7 +80,7 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 def counted(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(counts of the train vocabulary in all labelled documents, labels with part), both written."""
     labels = materialize(labelled(spark, sf), "labels")
-    docs = table(spark, sf, "documents").select("doc_id", "text").join(labels.select("doc_id", "part"), "doc_id")
+    docs = texts(spark, sf).join(labels.select("doc_id", "part"), "doc_id")
     counts = materialize(T.term_counts(docs, "doc_id", "text"), "counts")
     train = labels.filter("part = 'train'")
     vocabulary = T.vocabulary(counts.join(train.select("doc_id"), "doc_id", "left_semi"), MIN_DOCS)
@@ -182,7 +183,7 @@ FROM (SELECT doc_id, t, list_filter(t, lambda w: lower(w) NOT IN {sql_list(STOPW
       FROM (SELECT doc_id, {SPACE_SQL} AS t FROM documents))
 """)
 def strip_stopwords(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf)
     rows = docs.select("doc_id", F.size(raw_tokens(F.col("text"))).alias("n_before"), T.strip_stopwords(F.col("text"), STOPWORDS).alias("k"))
     return rows.select("doc_id", "n_before", F.size(raw_tokens(F.col("k"))).alias("n_after"), F.md5("k").alias("digest"))
 
@@ -201,7 +202,7 @@ SELECT doc_id, coalesce(n, 0) AS n_changed, md5(coalesce(s, '')) AS digest FROM
 """)
 def lemmatize_lookup(spark, sf):
     """Cleaning: stop words out, then lemmas in."""
-    docs = table(spark, sf, "documents").select("doc_id", T.strip_stopwords(F.col("text"), STOPWORDS).alias("text"))
+    docs = texts(spark, sf).select("doc_id", T.strip_stopwords(F.col("text"), STOPWORDS).alias("text"))
     rows = T.lemmatize(docs, "doc_id", "text", lemma_table(spark))
     return rows.select("doc_id", "n_changed", F.md5("lemmas").alias("digest"))
 
@@ -221,7 +222,7 @@ c AS (SELECT doc_id, round(coalesce(s / sqrt(s * s + 15), 0), 4) AS compound FRO
 def compounds(spark, sf):
     lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, valence double")
     modifiers = spark.createDataFrame(list(MODIFIERS.items()), "word string, kind string")
-    scored = T.sentiment(table(spark, sf, "documents"), "doc_id", "text", lexicon, modifiers)
+    scored = T.sentiment(texts(spark, sf), "doc_id", "text", lexicon, modifiers)
     return round_doubles(scored, 4)
 
 
@@ -254,7 +255,7 @@ SELECT doc_id, block::INT AS block, (n + 2)::INT AS n_real, (s + 5)::BIGINT AS i
 """)
 def encode_ids(spark, sf):
     """Whole texts in blocks of LENGTH ids; block 0 is the text cut to the length."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf)
     rows = T.encode_ids(docs, "doc_id", "text", T.frequent_ids(docs, "text", VOCABULARY), LENGTH)
     ids = F.transform("ids", lambda x: x.cast("long"))
     placed = F.transform(ids, lambda x, i: x * i)

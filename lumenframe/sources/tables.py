@@ -7,3 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over at least one task per core, for costly work per row such as splitting texts.
+
+    A scan that already has that many tasks is left as it is; a few small files are shuffled once.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
