@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,12 +78,13 @@ def coefficient_table(df: DataFrame, coef: dict[str, float]) -> DataFrame:
     return df.sparkSession.createDataFrame(list(coef.items()), "term string, coef double")
 
 
-def linear_score(coef: dict[str, float]) -> Column:
+def linear_score(coef: dict[str, float], transform: Callable[[Column], Column] | None = None) -> Column:
+    """Linear score of a row; ``transform`` turns it into a prediction, such as a class."""
     score = F.lit(coef.get(INTERCEPT, 0.0))
     for term, c in coef.items():
         if term != INTERCEPT:
             score = score + F.col(term) * F.lit(c)
-    return score
+    return transform(score) if transform else score
 
 
 def gradient_descent(
@@ -95,11 +96,12 @@ def gradient_descent(
     steps: int,
     l1: float = 0.0,
     l2: float = 0.0,
+    curve_of: Callable[[Column, Column], Column] | None = None,
 ) -> tuple[dict[str, float], list[float]]:
-    """Weights after ``steps`` full-gradient steps from zero, and the loss before each step.
+    """Weights after ``steps`` full-gradient steps from zero, and the learning curve before each step.
 
-    Each step is one aggregation with map-side combine; only the weight vector travels.
-    """
+    The curve is the loss, or ``curve_of(label, score)``, an aggregate column of the caller. Each step is one
+    aggregation with map-side combine; only the weight vector travels.
     if len(features) > MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms: use the iterative estimators")
     fn = LOSSES[loss]
@@ -109,7 +111,7 @@ def gradient_descent(
     data = df.select(*features, target).persist()
     for _ in range(steps):
         z = linear_score(weights)
-        row = data.agg(fn.value(y, z), *[fn.gradient(y, z, F.col(f)) for f in features]).first()
+        row = data.agg((curve_of or fn.value)(y, z), *[fn.gradient(y, z, F.col(f)) for f in features]).first()
         if row[0] is None:
             break
         curve.append(row[0])

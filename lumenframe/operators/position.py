@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,18 +29,15 @@ def order_statistics(
     """Values at given zero-based ranks per key: ``keys, target, lo, hi, frac``.
 
     ``targets`` maps a name to (approximate relative rank, exact rank as a function of the row
-    count). A mergeable sketch brackets each rank, a second pass counts what lies below the
-    bracket and orders only the values inside it. No group is ever sorted as a whole, and equal
-    values are folded into one row before the shuffle.
+    count). A mergeable sketch brackets each rank. A second pass keeps the values inside a bracket
+    and only counts the rows between brackets, so a key of any size is folded to a short list of
+    counted slots before the shuffle, and equal values to one of them.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     eps = MARGIN / accuracy
     names = list(targets)
-    probs = []
-    for name in names:
-        p = targets[name][0]
-        probs += [max(0.0, p - eps), min(1.0, p + eps)]
+    probs = [p for n in names for p in (max(0.0, targets[n][0] - eps), min(1.0, targets[n][0] + eps))]
     stats = rows.groupBy(*keys).agg(
         F.count("_v").alias("_n"),
         F.min("_v").alias("_min"),
@@ -46,44 +45,51 @@ def order_statistics(
         F.percentile_approx("_v", probs, accuracy).alias("_cuts"),
     )
     small = F.col("_n") <= accuracy
-    brackets = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("target"),
-                targets[name][1](F.col("_n")).cast("double").alias("rank"),
-                F.when(small, F.col("_min")).otherwise(F.col("_cuts")[2 * i]).alias("lo"),
-                F.when(small, F.col("_max")).otherwise(F.col("_cuts")[2 * i + 1]).alias("hi"),
-            )
-            for i, name in enumerate(names)
-        ]
+    limits = [c for i in range(len(names)) for c in (f"_lo{i}", f"_hi{i}", f"_rank{i}")]
+    stats = stats.filter("_n > 0").select(
+        *keys,
+        *[F.when(small, F.col("_min")).otherwise(F.col("_cuts")[2 * i]).alias(f"_lo{i}") for i in range(len(names))],
+        *[F.when(small, F.col("_max")).otherwise(F.col("_cuts")[2 * i + 1]).alias(f"_hi{i}") for i in range(len(names))],
+        *[targets[n][1](F.col("_n")).cast("double").alias(f"_rank{i}") for i, n in enumerate(names)],
     )
-    stats = stats.filter("_n > 0").select(*keys, brackets.alias("_b"))
     if keys:
         # written first: its real size decides whether the join is a broadcast
         paired = rows.join(materialize(stats, "brackets"), keys)
     else:
-        paired = rows.withColumn("_b", stats.scalar())
-    hits = paired.select(*keys, "_v", F.explode("_b").alias("b")).filter("_v <= b.hi")
-    slots = hits.groupBy(
-        *keys, "b.target", "b.rank", F.when(F.col("_v") >= F.col("b.lo"), F.col("_v")).alias("_v")
-    ).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys, "target").orderBy(F.col("_v").asc_nulls_first())
-    ranged = slots.withColumn("_end", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ranged = ranged.withColumn("_start", F.col("_end") - F.col("_c"))
+        one = stats.first()  # a few numbers
+        paired = rows.select("_v", *[F.lit(one[c] if one else None).alias(c) for c in limits])
+    v = F.col("_v")
+    spans = [(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(names))]
+    inside = functools.reduce(operator.or_, [v.between(lo, hi) for lo, hi in spans])
+    passed = functools.reduce(operator.add, [F.when(lo <= v, 1).otherwise(0) for lo, _ in spans])
+    slots = paired.groupBy(*keys, passed.alias("_passed"), F.when(inside, v).alias("_in")).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_v").alias("_top"), *[F.max(f"_rank{i}").alias(f"_rank{i}") for i in range(len(names))]
+    )
+    end = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_top").rowsBetween(Window.unboundedPreceding, 0))
+    ranged = slots.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c"))
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_v")))
+        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_in")))
 
-    found = ranged.groupBy(*keys, "target", "rank").agg(
-        at(F.floor("rank")).alias("lo"), at(F.ceil("rank")).alias("hi")
+    found = ranged.groupBy(*keys).agg(
+        *[
+            F.struct(
+                F.lit(name).alias("target"), at(F.floor(f"_rank{i}")).alias("lo"), at(F.ceil(f"_rank{i}")).alias("hi"),
+                F.max(F.col(f"_rank{i}") - F.floor(f"_rank{i}")).alias("frac"),
+            ).alias(f"_t{i}")
+            for i, name in enumerate(names)
+        ]
     )
+    if not keys:
+        found = found.filter("_t0.frac IS NOT NULL")
+    out = found.select(*keys, F.inline(F.array(*[f"_t{i}" for i in range(len(names))])))
     missed = F.raise_error(F.lit("rank outside of the sketch bracket"))
-    return found.select(
+    return out.select(
         *keys,
         "target",
         F.when(F.col("lo").isNull() | F.col("hi").isNull(), missed).otherwise(F.col("lo")).alias("lo"),
         "hi",
-        (F.col("rank") - F.floor("rank")).alias("frac"),
+        "frac",
     )
 
 

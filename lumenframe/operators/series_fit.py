@@ -81,6 +81,12 @@ def transforms(df: DataFrame, keys: Sequence[str], time: str, y: str, season: in
     return rows.unpivot([*keys, time], names, "transform", "y").filter("y IS NOT NULL")
 
 
+def _grouped(df: DataFrame, keys: Sequence[str]):
+    """Groups spread by a fixed number of partitions: small groups with a costly fit are not merged into one task."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys).groupBy(*keys)
+
+
 def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
     return [df.schema[k] for k in keys]
 
@@ -99,7 +105,7 @@ def stationarity(df: DataFrame, keys: Sequence[str], time: str, y: str, season:
         head = pdf.iloc[:1][names].reset_index(drop=True)
         return head.assign(**dict(zip(("stat", "p_value", "lags"), unit_root_test(values))))
 
-    tested = long.groupBy(*names).applyInPandas(test, schema)
+    tested = _grouped(long, names).applyInPandas(test, schema)
     order = F.struct(F.coalesce(F.nanvl("p_value", F.lit(None).cast("double")), F.lit(2.0)), "transform")
     first = tested.groupBy(*keys).agg(F.min_by("transform", order).alias("_best"))
     return tested.join(first, list(keys)).select(*names, "stat", "p_value", "lags", (F.col("transform") == F.col("_best")).alias("best"))
@@ -189,7 +195,7 @@ def hannan_rissanen(df: DataFrame, keys: Sequence[str], time: str, y: str, p: in
             out.insert(0, k, pdf[k].iloc[0])
         return out
 
-    return df.groupBy(*keys).applyInPandas(fit, schema)
+    return _grouped(df, keys).applyInPandas(fit, schema)
 
 
 def _seasonal_lags(p: int, seasonal_p: int, season: int) -> list[int]:
@@ -247,7 +253,7 @@ def forecast(
             out.insert(0, k, pdf[k].iloc[0])
         return out
 
-    return df.groupBy(*keys).applyInPandas(run, schema)
+    return _grouped(df, keys).applyInPandas(run, schema)
 
 
 def order_search(
@@ -276,7 +282,7 @@ def order_search(
             value = math.nan
         return pdf.iloc[:1][[*keys, *names]].reset_index(drop=True).assign(aic=value)
 
-    fitted = pairs.groupBy(*keys, *names).applyInPandas(fit, schema)
+    fitted = _grouped(pairs, [*keys, *names]).applyInPandas(fit, schema)
     fitted = fitted.withColumn("aic", F.nanvl("aic", F.lit(None).cast("double")))
     chosen = fitted.filter("aic IS NOT NULL").groupBy(*keys).agg(
         F.min_by(F.struct(*names), F.struct("aic", *names)).alias("_b")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.operators.position import order_statistics, running_sums
+from lumenframe.sources.scratch import materialize
 
 
 def holdout_ordered(df: DataFrame, key: str, part: float) -> DataFrame:
@@ -47,7 +48,7 @@ def holdout_chrono(
         return F.greatest(size(n * train_part) - 1, F.lit(0))
 
     cut = order_statistics(df, series, time, {"cut": (train_part, last_train)})
-    cut = cut.select(*series, F.col("lo").alias("_cut_time"))
+    cut = materialize(cut.select(*series, F.col("lo").alias("_cut_time")), "cuts")
     marked = df.join(cut, series)
     counts = marked.groupBy(*series).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -58,7 +59,7 @@ def holdout_chrono(
     at_cut = marked.filter(F.col(time) == F.col("_cut_time")).join(need, series)
     tie_rank = at_cut.groupBy(*series, "_need", tie).agg(F.count(F.lit(1)).alias("_c"))
     # the rows of one instant of one series: rank by tie through a second order statistic
-    tie_cut = _rank_value(tie_rank, series, tie)
+    tie_cut = materialize(_rank_value(tie_rank, series, tie), "cuts")
     placed = marked.join(tie_cut, series)
     train = (F.col(time) < F.col("_cut_time")) | (
         (F.col(time) == F.col("_cut_time")) & (F.col("_need") > 0) & (F.col(tie) <= F.col("_tie_cut"))

@@ -61,19 +61,29 @@ def draws(space: Mapping[str, IntRange | FloatRange | Choice], trials: int, seed
 
 
 def run_trials(
-    train: DataFrame, test: DataFrame, build: Callable[[dict], Estimator], trials: Sequence[dict], parallelism: int = 4
+    train: DataFrame,
+    test: DataFrame,
+    build: Callable[[dict], Estimator],
+    trials: Sequence[dict],
+    metric: Callable[[DataFrame, str, str], DataFrame] = holdout_scores,
+    parallelism: int = 4,
 ) -> list[tuple[dict, float, float]]:
-    """(parameters, accuracy, weighted F1) per parameter set on one holdout; fits are parallel Spark jobs."""
+    """(parameters, accuracy, score) per parameter set on one holdout; fits are parallel Spark jobs.
+
+    ``metric(df, truth, pred)`` gives one row; its last column is the score to maximise.
+    """
 
     def run(params: dict) -> tuple[dict, float, float]:
         scored = build(params).fit(train).transform(test)
-        row = holdout_scores(scored, "label", "prediction").first()
-        return params, row["accuracy"], row["f1"]
+        hits = F.avg(F.when(F.col("label") == F.col("prediction"), 100.0).otherwise(0.0))
+        accuracy = scored.agg(hits).first()[0] if metric is not holdout_scores else None
+        row = metric(scored, "label", "prediction").first()
+        return params, row["accuracy"] if accuracy is None else accuracy, row[-1]
 
     with ThreadPoolExecutor(parallelism) as pool:
         return list(pool.map(inheritable_thread_target(train.sparkSession)(run), trials))
 
 
 def best_trial(results: Sequence[tuple[dict, float, float]]) -> int:
-    """Index of the greatest F1; the first wins ties."""
+    """Index of the greatest score; the first wins ties."""
     return max(range(len(results)), key=lambda i: (round(results[i][2], 12), -i))

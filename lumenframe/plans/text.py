@@ -94,11 +94,7 @@ def train_part(counts: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
 
 def chosen_sets(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     counts, train = train_part(*counted(spark, sf))
-    return {
-        "chi2": Sel.top_terms(Sel.chi2_scores(counts, train, "doc_id", "quality"), TOP),
-        "mi": Sel.top_terms(Sel.mutual_info_scores(counts, train, "doc_id", "quality"), TOP),
-        "var": Sel.variance_select(Sel.variance_scores(counts, train, "doc_id"), VARIANCE_P, TOP),
-    }
+    return {name: select(counts, train, "doc_id", "quality", TOP) for name, select in Sel.SELECTORS.items()}
 
 
 @query("term_counts", f"WITH {TOK_SQL.rstrip().rstrip(',')} SELECT doc_id, term, cnt FROM tc")

@@ -24,8 +24,24 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir()
 
 
+_made: list[str] = []
+
+
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all working tables this process has made, once nothing derived from them is needed."""
+    while _made:
+        _delete(spark, _made.pop())
 
 
 def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
@@ -41,12 +57,7 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
 
 def release(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`materialize` that is no longer needed."""
-    spark = df.sparkSession
-    base = shared_dir(spark)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        if base.rsplit(":", 1)[-1] not in folder:
-            raise ValueError(f"{folder} is not a working table")
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    files = df.inputFiles()
+    for folder in [p for p in _made if any(p.rsplit("/", 1)[-1] in f for f in files)]:
+        _delete(df.sparkSession, folder)
+        _made.remove(folder)

@@ -216,3 +216,15 @@ def test_selected_terms(spark, folder):
 def test_effect_table(spark, folder):
     rows = scores(spark, folder, "select_then_score")
     assert len(rows) == 15 and all(0 <= r["accuracy"] <= 100 and 0 <= r["f1"] <= 1 for r in rows)
+
+
+def test_caller_functions(points):
+    """The caller's own learning curve, prediction transform and search metric."""
+    hits = lambda y, z: F.avg(F.when((z > 0) == (y > 0), 1.0).otherwise(0.0))
+    weights, curve = L.gradient_descent(points, ["a", "b"], "y", "cross_entropy", 0.5, 4, curve_of=hits)
+    assert 0.4 < curve[0] < 0.6 and curve[-1] > 0.8
+    pred = L.linear_score(weights, lambda z: F.when(z > 0, 1).otherwise(0))
+    assert M.accuracy(points.withColumn("p", pred), "y", "p").first()["accuracy"] > 80
+    rows = Mo.assemble(points, ["a", "b", "c"], "y", ["id"])
+    found = tuning.run_trials(rows, rows, lambda p: Mo.tree(p["d"]), [{"d": 1}, {"d": 3}], metric=M.binary_f1)
+    assert found[1][2] > found[0][2] > 0.5 and found[1][1] > found[0][1]
