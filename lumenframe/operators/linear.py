@@ -102,6 +102,7 @@ def gradient_descent(
 
     The curve is the loss, or ``curve_of(label, score)``, an aggregate column of the caller. Each step is one
     aggregation with map-side combine; only the weight vector travels.
+    """
     if len(features) > MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms: use the iterative estimators")
     fn = LOSSES[loss]
