@@ -114,7 +114,7 @@ FROM (SELECT o_orderpriority, o_orderkey, o_orderdate AS d,
                   <= ceil(count(*) OVER (PARTITION BY o_orderpriority) * 0.8) THEN 'train' ELSE 'test' END AS part
       FROM orders)
 GROUP BY o_orderpriority, part
-""")
+""", days=["min_date", "max_date"])
 def holdout_chrono(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderpriority", "o_orderdate", "o_orderkey")
     parts = splits.holdout_chrono(rows, ["o_orderpriority"], "o_orderdate", "o_orderkey")

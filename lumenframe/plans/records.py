@@ -119,7 +119,7 @@ SELECT o_orderkey, o_orderdate::DATE AS d_pattern,
        CASE WHEN o_orderstatus = 'F' THEN '-'
             ELSE day(o_orderdate) || '.' || month(o_orderdate) || '.' || year(o_orderdate) END AS s_unpadded
 FROM orders
-""")
+""", days=["d_pattern", "d_month_name"])
 def date_formats(spark, sf):
     day = F.col("o_orderdate").cast("date")
     texts = table(spark, sf, "orders").select(

@@ -42,7 +42,7 @@ LEFT JOIN (SELECT o_orderpriority, time_bucket(INTERVAL {days} DAY, o_orderdate:
 USING (o_orderpriority, b)"""
 
 
-@query("resample_first", resample_sql(7) + " UNION ALL " + resample_sql(1))
+@query("resample_first", resample_sql(7) + " UNION ALL " + resample_sql(1), days=["bin_start"])
 def resample_first(spark, sf):
     """Weekly and daily bins; by day there are gaps."""
     orders = table(spark, sf, "orders").select(*KEY, "o_orderdate", "o_orderkey", "o_totalprice")
@@ -57,7 +57,7 @@ def resample_first(spark, sf):
 SELECT o_orderpriority, week, round(y - lag(y) OVER w, 6) AS diff, round(y - lag(y, {SEASON}) OVER w, 6) AS diff_season,
        round(ln(y) - lag(ln(y)) OVER w, 6) AS log_diff, round(ln(y) - lag(ln(y), {SEASON}) OVER w, 6) AS log_diff_season,
        round(lag(y, 2) OVER w, 6) AS shifted FROM wk {WIN}
-""")
+""", days=["week"])
 def lag_diff(spark, sf):
     rows = weekly(spark, sf).withColumn("l", F.ln(F.when(F.col("y") > 0, F.col("y"))))
     for src, n, out in (("y", 1, "diff"), ("y", SEASON, "diff_season"), ("l", 1, "log_diff"), ("l", SEASON, "log_diff_season")):
@@ -68,7 +68,7 @@ def lag_diff(spark, sf):
 @query("seasonal_diff", f"""WITH {WK_SQL}
 SELECT o_orderpriority, week, round(y - lag(y) OVER w - lag(y, {SEASON}) OVER w + lag(y, {SEASON + 1}) OVER w, 8) AS y
 FROM wk {WIN} QUALIFY row_number() OVER w > {SEASON + 1}
-""")
+""", days=["week"])
 def seasonal_diff(spark, sf):
     return round_doubles(S.seasonal_diff(weekly(spark, sf), KEY, "week", "y", 1, 1, SEASON), 8)
 
@@ -77,12 +77,12 @@ def seasonal_diff(spark, sf):
 SELECT o_orderpriority, week, round(y, 6) AS y, round(lag(y, 1, 0) OVER w, 6) AS l1, round(lag(y, 2, 0) OVER w, 6) AS l2,
        round(lag(y, 13, 0) OVER w, 6) AS s13, round(lag(y, 14, 0) OVER w, 6) AS m13_1, round(lag(y, 15, 0) OVER w, 6) AS m13_2
 FROM wk {WIN}
-""")
+""", days=["week"])
 def lag_matrix(spark, sf):
     return round_doubles(S.lag_matrix(weekly(spark, sf), KEY, "week", "y", S.lag_columns(2, 1, SEASON)))
 
 
-@query("inverse_diff", f"WITH {WK_SQL} SELECT o_orderpriority, week, round(y, 8) AS level1, round(y, 8) AS level13 FROM wk")
+@query("inverse_diff", f"WITH {WK_SQL} SELECT o_orderpriority, week, round(y, 8) AS level1, round(y, 8) AS level13 FROM wk", days=["week"])
 def inverse_diff(spark, sf):
     """Levels rebuilt from log differences: they must be the levels the differences came from."""
     rows = weekly(spark, sf).withColumn("l", F.ln("y"))
@@ -94,7 +94,7 @@ def inverse_diff(spark, sf):
 
 @query("integrate_predictions", f"""WITH {WK_SQL}
 SELECT o_orderpriority, week, round(lag(y) OVER w + lag(y, {SEASON}) OVER w - lag(y, {SEASON + 1}) OVER w, 8) AS level FROM wk {WIN}
-""")
+""", days=["week"])
 def integrate_predictions(spark, sf):
     rows = weekly(spark, sf).withColumn("p", F.lit(0.0))
     out = S.integrate_predictions(rows, KEY, "week", "y", "p", "level", 1, 1, SEASON)
@@ -110,7 +110,7 @@ m AS (SELECT o_orderpriority, phase, avg(y - trend) AS m FROM t GROUP BY ALL),
 s AS (SELECT o_orderpriority, phase, m - avg(m) OVER (PARTITION BY o_orderpriority) AS seasonal FROM m)
 SELECT o_orderpriority, week, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal, round(y - trend - seasonal, 6) AS resid
 FROM t JOIN s USING (o_orderpriority, phase)
-""")
+""", days=["week"])
 def seasonal_decompose(spark, sf):
     return round_doubles(S.decompose(weekly(spark, sf), KEY, "week", "y", PERIOD).drop("y"))
 
@@ -128,7 +128,7 @@ def autocorrelation(spark, sf):
 
 @query("combine_series", f"""WITH {WK_SQL}
 SELECT o_orderpriority, week, round(CASE WHEN week < DATE '1999-06-01' THEN y ELSE y + 1000 END, 6) AS y FROM wk
-""")
+""", days=["week"])
 def combine_series(spark, sf):
     """Two overlapping halves, the later one raised: where both have a week the first wins."""
     rows = weekly(spark, sf)
@@ -215,8 +215,8 @@ PRED_SQL = " + ".join(f"lm.{c} * f.{c}" for c in LAGS)
 
 
 @query("seasonal_ar_predict", ar_fit_sql() + f"""
-SELECT lm.o_orderpriority, week, round({PRED_SQL}, 6) AS pred, round(c - ({PRED_SQL}), 6) AS resid FROM lm JOIN f USING (o_orderpriority)
-""")
+SELECT lm.o_orderpriority, week, round({PRED_SQL}, 6) + 0.0 AS pred, round(c - ({PRED_SQL}), 6) AS resid FROM lm JOIN f USING (o_orderpriority)
+""", days=["week"])
 def seasonal_ar_predict(spark, sf):
     rows = centred(spark, sf)
     coef = SF.lag_ridge(rows, KEY, "week", "c", LAGS, AR_ALPHA)

@@ -26,7 +26,7 @@ def events_stream(spark, sf):
 SELECT date_trunc('day', ts) AS start, event_type, arg_min(value, (ts, event_id)) AS first, arg_max(value, (ts, event_id)) AS last,
        round(avg(value), 6) AS mean, count(value) AS cnt
 FROM events WHERE {CLOSED_SQL} GROUP BY 1, 2
-""")
+""", days=["start"])
 def stream_resample(spark, sf):
     """Daily buckets per type; a bucket appears when the watermark has passed its end."""
     out = X.bucket_values(events_stream(spark, sf), "ts", ["event_type"], "event_id", "value", "1 day", "1 hour")
@@ -43,7 +43,7 @@ def stream_clean(spark, sf):
 @query("stream_validity", f"""
 SELECT date_trunc('day', ts) AS start, count(*) FILTER (event_type <> 'error') AS valid_cnt,
        count(*) FILTER (event_type = 'error') AS corrupted_cnt FROM events WHERE {CLOSED_SQL} GROUP BY 1
-""")
+""", days=["start"])
 def stream_validity(spark, sf):
     return X.run_available(X.validity_per_bucket(events_stream(spark, sf), "ts", F.col("event_type") != "error", "1 day", "1 hour"), "stream")
 

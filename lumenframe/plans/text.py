@@ -211,7 +211,7 @@ t AS (SELECT doc_id, unnest(k) AS word, unnest(list_concat([''], k[:-2])) AS bef
 s AS (SELECT doc_id, sum(CASE kind WHEN 'negation' THEN -0.74 * valence WHEN 'booster' THEN valence + sign(valence) * 0.293
                          ELSE valence END::DOUBLE) AS s
       FROM t JOIN lex USING (word) LEFT JOIN md ON md.word = before GROUP BY doc_id),
-c AS (SELECT doc_id, round(coalesce(s / sqrt(s * s + 15), 0), 4) AS compound FROM documents LEFT JOIN s USING (doc_id))
+c AS (SELECT doc_id, round(coalesce(s / sqrt(s * s + 15), 0), 4) + 0.0 AS compound FROM documents LEFT JOIN s USING (doc_id))
 """
 
 
