@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions.losses import LOSSES
+from lumenframe.sources.tables import right_sized
 
 MAX_TERMS = 200
 INTERCEPT = "intercept"
@@ -109,7 +110,8 @@ def gradient_descent(
     weights = dict.fromkeys(features, 0.0)
     curve: list[float] = []
     y = F.col(target).cast("double")
-    data = df.select(*features, target).persist()
+    cached = df.select(*features, target).persist()
+    data = right_sized(cached)
     for _ in range(steps):
         z = linear_score(weights)
         row = data.agg((curve_of or fn.value)(y, z), *[fn.gradient(y, z, F.col(f)) for f in features]).first()
@@ -119,5 +121,5 @@ def gradient_descent(
         weights = {
             f: w - rate * (g + l2 * w + l1 * float(np.sign(w))) for (f, w), g in zip(weights.items(), row[1:])
         }
-    data.unpersist()
+    cached.unpersist()
     return weights, curve

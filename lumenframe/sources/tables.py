@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,3 +18,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def right_sized(df: DataFrame, rows_per_task: int = 5000) -> DataFrame:
+    """Fewer tasks for a small table, as an iterative fit pays for each task in every step; a large one is left alone."""
+    wanted = max(1, math.ceil(df.count() / rows_per_task))
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
