@@ -128,11 +128,10 @@ def running_sums(
     the rows is therefore spread over many tasks.
     """
     keys, order, sums = list(keys), list(order), list(sums)
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(
-        df.repartitionByRange(parts, *keys, *order).withColumn("_pid", F.spark_partition_id()), "ranges"
-    )
+    # without a number the ranges follow the size of the data: neighbouring small ones are merged
+    by = [*keys, *order]
+    ranges = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    ranged = materialize(ranges.withColumn("_pid", F.spark_partition_id()), "ranges")
     head = [F.min_by(following, F.struct(*order)).alias("_head")] if following else []
     per_range = ranged.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], *head)
     # one row per range and key

@@ -55,10 +55,11 @@ def test_position_matches_window(skewed, partitions):
         assert got == want
 
 
-def test_running_sums(skewed):
+@pytest.mark.parametrize("ranges", [None, 1, 13])
+def test_running_sums(skewed, ranges):
     pdf, df = skewed
     folded = df.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
-    got = P.running_sums(folded, ["k"], ["v"], ["n"], following="v", totals=True).toPandas().sort_values(["k", "v"])
+    got = P.running_sums(folded, ["k"], ["v"], ["n"], following="v", totals=True, partitions=ranges).toPandas().sort_values(["k", "v"])
     base = pdf.groupby(["k", "v"]).size().rename("n").reset_index()
     assert (got["cum_n"].to_numpy() == base.groupby("k")["n"].cumsum().to_numpy()).all()
     assert (got["tot_n"].to_numpy() == base.groupby("k")["n"].transform("sum").to_numpy()).all()
