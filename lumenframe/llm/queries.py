@@ -1,0 +1,30 @@
+"""The registered queries: each operator with production parameters over its whole table."""
+
+from __future__ import annotations
+
+from lumenframe.llm import bpe
+from lumenframe.llm.registry import ORACLES, QUERIES, query, read
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_bpe_round_trip")
+def bpe_round_trip(spark, folder):
+    return bpe.digest(encoded(read(spark, folder, "documents")))
+
+
+def encoded(docs):
+    path = tokenizer_path()
+    return bpe.decode(bpe.encode(docs.select("doc_id", "text"), path).drop("text"), path)
+
+
+def all_queries():
+    return dict(QUERIES)
+
+
+def all_sql():
+    return dict(ORACLES)
