@@ -1,8 +1,9 @@
 """BPE encoding and decoding, equal to the tokenizer library's own for texts of any length.
 
-A long text is cut into leaves that different tasks encode. Two neighbouring encodings are then joined: a window around
+A long text is cut into leaves that different tasks encode, at a space or line end where there is one, as no token crosses these.
+Leaves of a stretch without any are joined in a tree. Two neighbouring encodings are then joined: a window around
 the join is encoded anew and grows until it agrees with the left side on a run of tokens before the join and with the right
-side on a run after it; in between the window's tokens hold. Pairs of joined parts are joined again, as in a tree. Where the
+side on a run after it; in between the window's tokens hold. Pairs of joined parts are joined again. Where the
 sides never agree the window ends as the whole text, so that the result is that of one call in any case.
 """
 
@@ -26,7 +27,7 @@ WINDOW = 64
 #: Tokens that a window must share with a side, at the same places.
 AGREE = 4
 #: Pieces between spaces whose ids a worker remembers; when full it starts afresh.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 
 class Tokens:
@@ -115,18 +116,27 @@ def join_all(tokenizer, text: str, parts: list[Tokens], cuts: list[int]) -> Toke
 
 
 class Encoder:
-    """Encodes texts piece by piece between spaces and line ends, where no token can cross; known pieces are looked up."""
+    """Encodes texts piece by piece between spaces and line ends, where no token can cross; known pieces are looked up.
+
+    Two generations of pieces are remembered: a full one replaces the one before, from which used pieces come back.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = read_tokenizer(path)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         pieces = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list({p for row in pieces for p in row if p not in known})
+            self.known, self.before = {}, self.known
+        known, before, new = self.known, self.before, []
+        for p in set().union(*pieces).difference(known):
+            ids = before.get(p)
+            if ids is None:
+                new.append(p)
+            else:
+                known[p] = ids
         for a in range(0, len(new), 4096):
             some = new[a : a + 4096]
             made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
@@ -161,41 +171,68 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     return short.unionByName(joined)
 
 
+def leaves_of(text: str, limit: int = LEAF) -> list[tuple[str, bool]]:
+    """``text`` in leaves of at most ``limit`` code points, each with whether it goes on in the next without a space between."""
+    out, a = [], 0
+    while len(text) - a > limit:
+        cut = max(text.rfind(" ", a + 1, a + limit), text.rfind("\n", a + 1, a + limit))
+        out.append((text[a : cut if cut > 0 else a + limit], cut <= 0))
+        a = cut if cut > 0 else a + limit
+    return [*out, (text[a:], False)]
+
+
 def encode_long(texts: DataFrame, path: str) -> DataFrame:
-    """(__key, __ids) of long texts (__key, __text): leaves over all tasks, then one tree of joins for each text."""
-    leaves = texts.select(
-        "__key",
-        F.explode(F.sequence(F.lit(0), F.expr(f"CAST((length(__text) - 1) DIV {LEAF} AS INT)"))).alias("part"),
-        "__text",
-    ).select("__key", "part", F.expr(f"substring(__text, part * {LEAF} + 1, {LEAF})").alias("text"))
-    leaves = leaves.repartition(F.col("__key"), F.col("part"))
+    """(__key, __ids) of long texts (__key, __text): leaves over all tasks, then one tree of joins for each unsplit run."""
+    names = ["__key", "part", "text", "tied", "opens"]
+
+    def cut(batches):
+        for batch in batches:
+            for key, text in zip(*(batch.column(c).to_pylist() for c in ("__key", "__text")), strict=True):
+                made = leaves_of(text)
+                tied = [t for _, t in made]
+                columns = [[key] * len(made), list(range(len(made))), [t for t, _ in made], tied, [False, *tied[:-1]]]
+                types = [pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
+                arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     def leaf(batches):
-        tokenizer = read_tokenizer(path)
+        encoder, tokenizer = _encoder(path), read_tokenizer(path)
         for pdf in batches:
-            for key, part, text in zip(pdf["__key"], pdf["part"], pdf["text"], strict=True):
-                t = encode_span(tokenizer, text, 0, len(text))
-                yield pd.DataFrame(
-                    {"__key": [key], "part": [part], "text": [text], "ids": [t.ids.astype("<u4").tobytes()]}
-                    | {"starts": [t.starts.astype("<i4").tobytes()], "ends": [t.ends.astype("<i4").tobytes()]}
-                )
+            for row in pdf.itertuples(index=False):
+                key, part, text, tied, opens = row
+                if tied or opens:
+                    t = encode_span(tokenizer, text, 0, len(text))
+                    packed = [t.ids.astype("<u4").tobytes(), t.starts.astype("<i4").tobytes(), t.ends.astype("<i4").tobytes()]
+                else:
+                    text, packed = "", [encoder([text])[0], b"", b""]
+                yield pd.DataFrame([[key, part, text, tied, *packed]], columns=["__key", "part", "text", "tied", "ids", "starts", "ends"])
 
     def tree(pdf):
         pdf = pdf.sort_values("part")
-        cuts = [0, *np.cumsum([len(t) for t in pdf["text"]]).tolist()]
-        parts = [
-            Tokens(
-                np.frombuffer(i, "<u4"), np.frombuffer(s, "<i4").astype(np.int64) + at, np.frombuffer(e, "<i4").astype(np.int64) + at
-            )
-            for i, s, e, at in zip(pdf["ids"], pdf["starts"], pdf["ends"], cuts[:-1], strict=True)
-        ]
-        made = join_all(read_tokenizer(path), "".join(pdf["text"]), parts, cuts)
-        return pd.DataFrame({"__key": pdf["__key"].iloc[:1], "__ids": [made.ids.astype("<u4").tobytes()]})
-
-    schema = "__key string, part int, text string, ids binary, starts binary, ends binary"
+        run, texts, out = [], [], []
+        for text, tied, ids, starts, ends in zip(pdf["text"], pdf["tied"], pdf["ids"], pdf["starts"], pdf["ends"], strict=True):
+            run.append((ids, starts, ends))
+            texts.append(text)
+            if not tied:
+                out.append(_joined(path, run, texts) if len(run) > 1 else ids)
+                run, texts = [], []
+        return pd.DataFrame({"__key": pdf["__key"].iloc[:1], "__ids": [b"".join(out)]})
+
+    leaves = texts.mapInArrow(cut, "__key string, part int, text string, tied boolean, opens boolean")
+    leaves = leaves.repartition(F.col("__key"), F.col("part"))
+    schema = "__key string, part int, text string, tied boolean, ids binary, starts binary, ends binary"
     return leaves.mapInPandas(leaf, schema).groupBy("__key").applyInPandas(tree, "__key string, __ids binary")
 
 
+def _joined(path: str, run: list[tuple[bytes, bytes, bytes]], texts: list[str]) -> bytes:
+    cuts = [0, *np.cumsum([len(t) for t in texts]).tolist()]
+    parts = [
+        Tokens(np.frombuffer(i, "<u4"), np.frombuffer(s, "<i4").astype(np.int64) + at, np.frombuffer(e, "<i4").astype(np.int64) + at)
+        for (i, s, e), at in zip(run, cuts[:-1], strict=True)
+    ]
+    return join_all(read_tokenizer(path), "".join(texts), parts, cuts).ids.astype("<u4").tobytes()
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text that the library's decode gives for the packed ids, special tokens included (null: empty)."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lumenframe.llm import bpe
+from lumenframe.llm import bpe, chat, mixing, shards
 from lumenframe.llm.registry import ORACLES, QUERIES, query, read
 
 
@@ -22,6 +22,31 @@ def encoded(docs):
     return bpe.decode(bpe.encode(docs.select("doc_id", "text"), path).drop("text"), path)
 
 
+SHARDS = [f"shard-{i:03d}" for i in range(64)]
+
+
+@query("op3_shard_documents")
+def shard_documents(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "source")
+    return shards.place(docs, ["doc_id"], SHARDS)
+
+
+@query("op9_mix_sources", mixing.SQL)
+def mix_sources(spark, folder):
+    return mixing.digest(mixing.mix(read(spark, folder, "documents")))
+
+
+#: A conversation whose texts look like another template's marks.
+TRICKY = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op10_format_conversations")
+def format_conversations(spark, folder):
+    talks = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(TRICKY, "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_turns(talks.unionByName(more)))
+
+
 def all_queries():
     return dict(QUERIES)
 
