@@ -30,7 +30,7 @@ LEVELS = 4
 
 def size_of(text: str = "text"):
     """Words of a text; null has none."""
-    return F.coalesce(F.expr(f"regexp_count(`{text}`, '{WORD}')"), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def _number(*parts):
@@ -91,17 +91,19 @@ def _until(groups: DataFrame, unit: str, salt: str) -> DataFrame:
     return out.select("mix_key", unit, "number", "whole", "edge", "left", *[c for c in ("passes", "target", "source_size") if c in out.columns])
 
 
-def _finer(rows: DataFrame, edges: DataFrame, keys: list[str], unit: str, salt: str) -> DataFrame:
-    """The same choice among the finer units of the units at the edge."""
+def _finer(rows: DataFrame, edges: DataFrame, keys: list[str], unit: str, last: bool = False) -> DataFrame:
+    """The same choice among the finer units of the units at the edge; the ``last`` time the one at the edge too, if nearer."""
     at = edges.filter("edge").select("mix_key", *keys, F.col("left").alias("rest"))
     groups = rows.join(at, ["mix_key", *keys]).groupBy("mix_key", *keys, unit)
     groups = groups.agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     kept = groups.select("mix_key", *keys, unit, "words", "rest")
-    order = Window.partitionBy("mix_key").orderBy(_order(F.lit(salt), "mix_key", F.col(unit).cast("string")))
+    order = Window.partitionBy("mix_key").orderBy(_order(F.lit(unit), "mix_key", F.col(unit).cast("string")))
     kept = kept.withColumn("end", F.sum("words").over(order))
     whole = F.col("end") <= F.col("rest")
     edge = ~whole & (F.col("end") - F.col("words") <= F.col("rest"))
     left = F.col("rest") - (F.col("end") - F.col("words"))
+    if last:
+        whole = whole | (edge & (left * 2 >= F.col("words")))
     return kept.select("mix_key", *keys, unit, whole.alias(f"whole_{unit}"), edge.alias("edge"), left.alias("left"))
 
 
@@ -135,8 +137,8 @@ def mix(df: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     plan = plan.withColumn("passes", passes).withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
     first = materialize(_until(blocks.join(plan, "mix_key"), "block", "block"), "mix-choice")
-    second = materialize(_finer(slim, first, ["block"], "finer", "finer"), "mix-choice")
-    third = materialize(_finer(slim, second, ["block", "finer"], "finest", "finest"), "mix-choice")
+    second = materialize(_finer(slim, first, ["block"], "finer"), "mix-choice")
+    third = materialize(_finer(slim, second, ["block", "finer"], "finest", last=True), "mix-choice")
 
     quotas = first.groupBy("mix_key").agg(
         F.first("passes").alias("passes"), F.count(F.lit(1)).alias("blocks"), F.sum((F.col("whole") | F.col("edge")).cast("int")).alias("more")
@@ -186,8 +188,9 @@ def _sql() -> str:
     )
 
     def finer(name: str, edge: str, keys: str, unit: str) -> str:
+        nearer = ' OR ("end" > rest AND (rest - ("end" - words)) >= 0 AND (rest - ("end" - words)) * 2 >= words)' if unit == "finest" else ""
         return f"""{name} AS (
-    SELECT *, "end" <= rest AS whole, "end" > rest AND "end" - words <= rest AS edge, rest - ("end" - words) AS "left" FROM (
+    SELECT *, "end" <= rest{nearer} AS whole, "end" > rest AND "end" - words <= rest AS edge, rest - ("end" - words) AS "left" FROM (
       SELECT *, sum(words) OVER (PARTITION BY mix_key ORDER BY md5('{unit}:' || mix_key || ':' || {unit})) AS "end" FROM (
         SELECT d.mix_key, {", ".join("d." + k for k in keys.split())}, d.{unit}, sum(d.size)::BIGINT AS words, any_value(e."left") AS rest
         FROM d JOIN {edge} e ON e.edge AND d.mix_key = e.mix_key {" ".join(f"AND d.{k} = e.{k}" for k in keys.split())} GROUP BY ALL)))"""
