@@ -10,9 +10,9 @@ sides never agree the window ends as the whole text, so that the result is that
 from __future__ import annotations
 
 import functools
+import unicodedata
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,10 @@ WINDOW = 64
 AGREE = 4
 #: Pieces between spaces whose ids a worker remembers; when full it starts afresh.
 REMEMBERED = 1 << 18
+#: Stops that may follow a word.
+STOPS = ".,;:!?"
+#: Bytes of text that a worker encodes at a time.
+SLICE = 4 << 20
 
 
 class Tokens:
@@ -115,14 +119,23 @@ def join_all(tokenizer, text: str, parts: list[Tokens], cuts: list[int]) -> Toke
     return parts[0]
 
 
+def _one_word(piece: str) -> bool:
+    """Whether the tokenizer's rules, too, see letters only in the piece, and so one word."""
+    return piece.isalpha() and (piece.isascii() or unicodedata.normalize("NFC", piece).lower().isalpha())
+
+
 class Encoder:
     """Encodes texts piece by piece between spaces and line ends, where no token can cross; known pieces are looked up.
 
-    Two generations of pieces are remembered: a full one replaces the one before, from which used pieces come back.
+    A word and the stops after it are pieces of their own, too. Words not yet known are encoded in one call and told apart by
+    their last tokens. Two generations of pieces are remembered: a full one replaces the one before, from which used pieces
+    come back.
     """
 
     def __init__(self, path: str):
         self.tokenizer = read_tokenizer(path)
+        strings = _strings(path)
+        self.last = np.array([t.endswith("</w>") for t in strings])
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -130,19 +143,42 @@ class Encoder:
         pieces = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > REMEMBERED:
             self.known, self.before = {}, self.known
-        known, before, new = self.known, self.before, []
+        known = self.known
+        stopped = {}
+        missing = set()
         for p in set().union(*pieces).difference(known):
-            ids = before.get(p)
-            if ids is None:
-                new.append(p)
+            if p and p[-1] in STOPS and _one_word(core := p.rstrip(STOPS)):
+                stopped[p] = core
+                missing.update((core, p[len(core) :]))
             else:
-                known[p] = ids
-        for a in range(0, len(new), 4096):
-            some = new[a : a + 4096]
-            made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            known.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in made), strict=True))
+                missing.add(p)
+        self.learn(missing.difference(known))
+        for p, core in stopped.items():
+            known[p] = known[core] + known[p[len(core) :]]
         return [b"".join(map(known.__getitem__, row)) for row in pieces]
 
+    def learn(self, missing: set[str]) -> None:
+        words, others = [], []
+        for p in missing:
+            ids = self.before.get(p)
+            if ids is not None:
+                self.known[p] = ids
+            else:
+                (words if _one_word(p) else others).append(p)
+        for a in range(0, len(words), 4096):
+            some = words[a : a + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.last[ids]) + 1
+            if len(cuts) == len(some):
+                packed, cuts = ids.tobytes(), (cuts * 4).tolist()
+                self.known.update(zip(some, map(packed.__getitem__, map(slice, [0, *cuts[:-1]], cuts)), strict=True))
+            else:
+                others.extend(some)
+        for a in range(0, len(others), 4096):
+            some = others[a : a + 4096]
+            made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.known.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in made), strict=True))
+
 
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
@@ -155,20 +191,26 @@ def _strings(path: str) -> list[str]:
     return [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
 
 
-def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
     """``df`` with the column ``out``: the ids of each whole text as packed little-endian 32-bit numbers (null: none).
 
-    Equal texts longer than a leaf are encoded once. A column named as ``out`` is replaced; rows repeat as they came.
+    With ``decoded``, that column has what :func:`decode` makes of the ids. Equal texts longer than a leaf are encoded once.
+    Columns named as the results are replaced; rows repeat as they came.
     """
-    field = StructField(out, BinaryType())
+    fields = [StructField(out, BinaryType())] + [StructField(decoded, StringType())] * bool(decoded)
+
+    def run(texts):
+        ids = _encoder(path)(texts.to_pylist())
+        return [pa.array(ids, pa.binary())] + [pa.array(decode_rows(path, ids), pa.string())] * bool(decoded)
+
     whole = F.coalesce(F.length(F.col(text)) <= LEAF, F.lit(True))
-    short = add_columns(df.filter(whole), text, [field], lambda a: [pa.array(_encoder(path)(a.to_pylist()), pa.binary())])
+    short = add_columns(df.filter(whole), text, fields, run, SLICE)
     long = df.filter(~whole)
     keyed = long.withColumn("__key", F.sha2(F.col(text), 256))
-    made = encode_long(keyed.select("__key", F.col(text).alias("__text")).dropDuplicates(["__key"]), path)
-    rest = [c for c in long.columns if c.lower() != out.lower()]
-    joined = keyed.join(made, "__key").select(*[F.col(f"`{c}`") for c in rest], F.col("__ids").alias(out))
-    return short.unionByName(joined)
+    made = encode_long(keyed.select("__key", F.col(text).alias("__text")).dropDuplicates(["__key"]), path, bool(decoded))
+    rest = [c for c in long.columns if c.lower() not in [f.name.lower() for f in fields]]
+    own = [F.col("__ids").alias(out)] + [F.col("__decoded").alias(decoded or "")] * bool(decoded)
+    return short.unionByName(keyed.join(made, "__key").select(*[F.col(f"`{c}`") for c in rest], *own))
 
 
 def leaves_of(text: str, limit: int = LEAF) -> list[tuple[str, bool]]:
@@ -181,8 +223,8 @@ def leaves_of(text: str, limit: int = LEAF) -> list[tuple[str, bool]]:
     return [*out, (text[a:], False)]
 
 
-def encode_long(texts: DataFrame, path: str) -> DataFrame:
-    """(__key, __ids) of long texts (__key, __text): leaves over all tasks, then one tree of joins for each unsplit run."""
+def encode_long(texts: DataFrame, path: str, decoded: bool) -> DataFrame:
+    """(__key, __ids, __decoded) of long texts (__key, __text): leaves over all tasks, then one tree of joins for each unsplit run."""
     names = ["__key", "part", "text", "tied", "opens"]
 
     def cut(batches):
@@ -197,31 +239,37 @@ def encode_long(texts: DataFrame, path: str) -> DataFrame:
 
     def leaf(batches):
         encoder, tokenizer = _encoder(path), read_tokenizer(path)
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                key, part, text, tied, opens = row
+        for batch in batches:
+            for key, part, text, tied, opens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                packed = ["", b"", b"", b""]
                 if tied or opens:
                     t = encode_span(tokenizer, text, 0, len(text))
-                    packed = [t.ids.astype("<u4").tobytes(), t.starts.astype("<i4").tobytes(), t.ends.astype("<i4").tobytes()]
+                    packed = [text, t.ids.astype("<u4").tobytes(), t.starts.astype("<i4").tobytes(), t.ends.astype("<i4").tobytes()]
                 else:
-                    text, packed = "", [encoder([text])[0], b"", b""]
-                yield pd.DataFrame([[key, part, text, tied, *packed]], columns=["__key", "part", "text", "tied", "ids", "starts", "ends"])
-
-    def tree(pdf):
-        pdf = pdf.sort_values("part")
-        run, texts, out = [], [], []
-        for text, tied, ids, starts, ends in zip(pdf["text"], pdf["tied"], pdf["ids"], pdf["starts"], pdf["ends"], strict=True):
-            run.append((ids, starts, ends))
+                    packed[1] = encoder([text])[0]
+                values = [key, part, tied, *packed]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names=fields)
+
+    def tree(table):
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in fields), strict=True), key=lambda r: r[1])
+        run, texts, ids = [], [], []
+        for _, _, tied, text, own, starts, ends in rows:
+            run.append((own, starts, ends))
             texts.append(text)
             if not tied:
-                out.append(_joined(path, run, texts) if len(run) > 1 else ids)
+                ids.append(_joined(path, run, texts) if len(run) > 1 else own)
                 run, texts = [], []
-        return pd.DataFrame({"__key": pdf["__key"].iloc[:1], "__ids": [b"".join(out)]})
+        ids = b"".join(ids)
+        text = decode_rows(path, [ids])[0] if decoded else ""
+        return pa.table({"__key": [rows[0][0]], "__ids": pa.array([ids], pa.binary()), "__decoded": [text]})
 
+    fields = ["__key", "part", "tied", "text", "ids", "starts", "ends"]
+    kinds = [pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
     leaves = texts.mapInArrow(cut, "__key string, part int, text string, tied boolean, opens boolean")
     leaves = leaves.repartition(F.col("__key"), F.col("part"))
-    schema = "__key string, part int, text string, tied boolean, ids binary, starts binary, ends binary"
-    return leaves.mapInPandas(leaf, schema).groupBy("__key").applyInPandas(tree, "__key string, __ids binary")
+    schema = "__key string, part int, tied boolean, text string, ids binary, starts binary, ends binary"
+    made = leaves.mapInArrow(leaf, schema).groupBy("__key")
+    return made.applyInArrow(tree, "__key string, __ids binary, __decoded string")
 
 
 def _joined(path: str, run: list[tuple[bytes, bytes, bytes]], texts: list[str]) -> bytes:
@@ -233,19 +281,20 @@ def _joined(path: str, run: list[tuple[bytes, bytes, bytes]], texts: list[str])
     return join_all(read_tokenizer(path), "".join(texts), parts, cuts).ids.astype("<u4").tobytes()
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with the text that the library's decode gives for the packed ids, special tokens included (null: empty)."""
+def decode_rows(path: str, rows: list[bytes | None]) -> list[str]:
+    """The library's decode of each row of packed ids: without a decoder the tokens with a space between."""
+    lists = [np.frombuffer(x or b"", "<u4").tolist() for x in rows]
+    tokenizer = read_tokenizer(path)
+    if tokenizer.decoder is not None:
+        return tokenizer.decode_batch(lists, skip_special_tokens=False)
+    word = _strings(path).__getitem__
+    return [" ".join(map(word, ids)) for ids in lists]
 
-    def run(packed):
-        if read_tokenizer(path).decoder is not None:
-            decoder = read_tokenizer(path)
-            rows = [np.frombuffer(x or b"", "<u4").tolist() for x in packed.to_pylist()]
-            return [pa.array(decoder.decode_batch(rows, skip_special_tokens=False), pa.string())]
-        word = _strings(path).__getitem__
-        made = [" ".join(map(word, np.frombuffer(x or b"", "<u4").tolist())) for x in packed.to_pylist()]
-        return [pa.array(made, pa.string())]
 
-    return add_columns(df, ids, [StructField(out, StringType())], run)
+def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``df`` with the text that the library's decode gives for the packed ids, special tokens included (null: empty)."""
+    fields = [StructField(out, StringType())]
+    return add_columns(df, ids, fields, lambda a: [pa.array(decode_rows(path, a.to_pylist()), pa.string())], SLICE)
 
 
 def digest(df: DataFrame) -> DataFrame:

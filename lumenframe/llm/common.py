@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -22,7 +24,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     """``batch`` in runs of rows whose text comes to about ``limit`` bytes; a longer text is a run of its own."""
     if not batch.num_rows:
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes.astype(np.int64)) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -30,7 +32,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 
 def add_columns(
-    df: DataFrame, column: str, outs: list[StructField], fn: Callable[[pa.Array], list[pa.Array]]
+    df: DataFrame, column: str, outs: list[StructField], fn: Callable[[pa.Array], list[pa.Array]], limit: int = SLICE_BYTES
 ) -> DataFrame:
     """``df`` with the columns ``outs`` that ``fn`` makes of ``column``, batch by batch; columns of those names are replaced."""
     names = {f.name.lower() for f in outs}
@@ -40,7 +42,7 @@ def add_columns(
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "__in"):
+            for part in slices(batch, "__in", limit):
                 made = fn(part.column("__in"))
                 own = [part.column(i) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays([*own, *made], names=[f.name for f in schema.fields])
@@ -109,6 +111,12 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return mix(out)
 
 
+def tidy(spark) -> None:
+    """Let Spark delete shuffle files of finished jobs now; it otherwise waits until the driver happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @functools.lru_cache(maxsize=2)
 def read_tokenizer(path: str):
     """The tokenizer in a file of every machine's Python environment, without truncation and padding."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lumenframe.llm import bpe, chat, mixing, shards
+from pyspark.sql import functions as F
+
+from lumenframe.llm import bpe, chat, forest, html, jaccard, language, mixing, quality, shards, spans
 from lumenframe.llm.registry import ORACLES, QUERIES, query, read
 
 
@@ -18,8 +20,12 @@ def bpe_round_trip(spark, folder):
 
 
 def encoded(docs):
-    path = tokenizer_path()
-    return bpe.decode(bpe.encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    return bpe.encode(docs.select("doc_id", "text"), tokenizer_path(), decoded="decoded").drop("text")
+
+
+@query("op2_nearest_vectors")
+def nearest_vectors(spark, folder):
+    return forest.neighbours(read(spark, folder, "embeddings"), lambda c: F.col(c) % 20 == 0)
 
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -31,6 +37,35 @@ def shard_documents(spark, folder):
     return shards.place(docs, ["doc_id"], SHARDS)
 
 
+@query("op4_jaccard_join")
+def jaccard_join(spark, folder):
+    return jaccard.join(read(spark, folder, "documents"))
+
+
+@query("op5_language_kernel")
+def language_kernel(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
+    model = language.fit(docs.filter("NOT held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op6_remove_repeated_spans")
+def remove_repeated_spans(spark, folder):
+    return spans.digest(spans.dedup(read(spark, folder, "documents").select("doc_id", "text")))
+
+
+@query("op7_quality_rules")
+def quality_rules(spark, folder):
+    trusted = quality.trusted_ids(read(spark, folder, "labels"))
+    made = quality.judge(read(spark, folder, "documents").select("doc_id", "text"), trusted)
+    return made.drop("text")
+
+
+@query("op8_extract_html")
+def extract_html(spark, folder):
+    return html.extract(read(spark, folder, "pages"))
+
+
 @query("op9_mix_sources", mixing.SQL)
 def mix_sources(spark, folder):
     return mixing.digest(mixing.mix(read(spark, folder, "documents")))
