@@ -94,12 +94,14 @@ def judge(df: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str =
     """``df`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score and kept.
 
     ``trusted`` has the ids (column ``doc_id``) of the target's documents; null ids are never trusted. score is the mean ratio in
-    millionths, null without words. A null text has no words. Columns named as the results are replaced.
+    millionths, null without words. A null text has no words. Columns named as the results are replaced. Runs the job of the ratios;
+    their one row of BUCKETS numbers becomes a constant of the plan.
     """
     own = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed score kept".split()
     df = df.select(*[c for c in df.columns if c.lower() not in own])
     names = df.columns
-    table = ratios(df, trusted, doc_id, text).scalar()
+    line = ratios(df, trusted, doc_id, text).select(F.array_join("ratios", ",")).collect()[0][0]
+    table = F.split(F.lit(line), ",").cast("array<bigint>")
     rows = base_counts(with_grams(df, text), text)
     total = F.aggregate("__grams", F.lit(0).cast("long"), lambda s, g: s + F.element_at(table, g + 1))
     failed = (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)

@@ -3,8 +3,7 @@
 Windows of HALF words are counted first, and only those that repeat are extended to twice that length. Of the windows of HALF
 words, one for every window of SPAN words is enough: the one with the least hash among those it contains, which equal windows
 choose alike wherever they stand. A window of SPAN words is a candidate if the one it chose repeats, and is removed if its own 128-bit
-hash also starts earlier. With ``levels`` above 1 the repeated windows are extended on, to twice the length each time, until
-none survives.
+hash also starts earlier. :func:`longer` extends the repeated windows on, to twice the length each time, until none survives.
 
 Counts and first places are mergeable aggregates joined back, so that a passage shared by a third of all documents is
 pre-aggregated by every task, and its join can be split.
@@ -12,10 +11,12 @@ pre-aggregated by every task, and its join can be split.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -91,7 +92,10 @@ def _keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def repeated_halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(narrow, halves): a row per document (__k, __t, dup, copy, n_words), and its chosen windows that repeat (k, dup, halves)."""
+    """(narrow, halves): (__k, __t, rank, n_words, copy) per document, rank in order of id; (__k, __t, rank, halves) that repeat.
+
+    A copy has the whole text of a document of lower rank, and needs no windows.
+    """
 
     def chosen(texts):
         w = Windows(texts, False)
@@ -102,19 +106,17 @@ def repeated_halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.select("__k", "__t", "__null", "__text", F.md5("__text").alias("whole"))
     found = materialize(add_columns(texts, "__text", outs, chosen).drop("__text"), "span-halves")
 
-    order = Window.partitionBy("__k").orderBy("__null", "__t")
-    distinct = found.groupBy("__k", "__t", "__null").agg(F.first("n_words").alias("n_words"), F.first("whole").alias("whole"))
-    numbered = distinct.withColumn("dup", F.row_number().over(order) - 1)
-    first = numbered.groupBy("whole").agg(F.min(F.struct("__k", "dup")).alias("__f"))
-    narrow = numbered.join(first, "whole").select(
-        "__k", "__t", "dup", "n_words", (F.struct("__k", "dup") != F.col("__f")).alias("copy")
-    )
+    distinct = found.groupBy("__k", "__null", "__t").agg(F.max("n_words").alias("n_words"), F.first("whole").alias("whole"))
+    ranked = distinct.orderBy("__k", "__null", "__t").withColumn("rank", F.monotonically_increasing_id())
+    ranked = materialize(ranked, "span-docs")
+    first = ranked.groupBy("whole").agg(F.min("rank").alias("__f"))
+    narrow = ranked.join(first, "whole").select("__k", "__t", "rank", "n_words", (F.col("rank") != F.col("__f")).alias("copy"))
     narrow = materialize(narrow, "span-docs")
 
     count = found.select(F.explode("halves").alias("half")).groupBy("half").count().filter("count > 1").select("half")
     own = found.select("__k", "__t", F.explode(F.array_distinct("halves")).alias("half"))
     rows = own.join(count, "half").groupBy("__k", "__t").agg(F.collect_set("half").alias("halves"))
-    kept = narrow.filter("NOT copy").select("__k", "__t", "dup").join(rows, ["__k", "__t"])
+    kept = narrow.filter("NOT copy").select("__k", "__t", "rank").join(rows, ["__k", "__t"])
     halves = materialize(kept, "span-halves")
     release(found)
     tidy(docs.sparkSession)
@@ -122,8 +124,11 @@ def repeated_halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def candidates(docs: DataFrame, halves: DataFrame) -> DataFrame:
-    """(k, dup, start, h1, h2) of the windows of SPAN words whose chosen half repeats."""
-    rows = docs.join(halves, ["__k", "__t"]).select(F.col("__k").alias("k"), "dup", "__text", "halves")
+    """(rank, start, h1, h2, again) of the windows of SPAN words whose chosen half repeats.
+
+    ``again`` tells that the same document has the window earlier; each document is seen whole, so this needs no shuffle.
+    """
+    rows = docs.join(halves, ["__k", "__t"]).select("rank", "__text", "halves")
 
     def run(batches):
         for batch in batches:
@@ -136,12 +141,16 @@ def candidates(docs: DataFrame, halves: DataFrame) -> DataFrame:
                 text = w.text[: len(w.fits)]
                 hit = np.flatnonzero(w.fits)
                 hit = hit[np.isin(set_pairs(text[hit], w.least[hit]), known)]
-                own = [part.column(c).take(pa.array(text[hit])) for c in ("k", "dup")]
-                numbers = pa.array(w.number[hit].astype(np.int32))
-                hashes = [pa.array(x[hit].view(np.int64)) for x in (w.span, w.span2)] if len(hit) else [pa.array([], pa.int64())] * 2
-                yield pa.RecordBatch.from_arrays([*own, numbers, *hashes], names=["k", "dup", "start", "h1", "h2"])
+                text, number, h1, h2 = text[hit], w.number[hit], *(x[hit] if len(hit) else w.least for x in (w.span, w.span2))
+                order = np.lexsort((number, h2, h1, text))
+                same = (text[order][1:] == text[order][:-1]) & (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+                again = np.zeros(len(hit), bool)
+                again[order[1:][same]] = True
+                own = part.column("rank").take(pa.array(text))
+                columns = [own, pa.array(number.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(again)]
+                yield pa.RecordBatch.from_arrays(columns, names=["rank", "start", "h1", "h2", "again"])
 
-    return rows.mapInArrow(run, "k long, dup int, start int, h1 long, h2 long")
+    return rows.mapInArrow(run, "rank long, start int, h1 long, h2 long, again boolean")
 
 
 def set_pairs(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -150,31 +159,31 @@ def set_pairs(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def later_windows(found: DataFrame) -> DataFrame:
-    """The windows whose hash also starts earlier: (k, dup, start)."""
-    place = F.struct("k", "dup", "start")
-    first = found.groupBy("h1", "h2").agg(F.min(place).alias("__f"), F.count(F.lit(1)).alias("__n"))
+    """(rank, start) of the windows whose words also start earlier."""
+    once = found.filter("NOT again")
+    first = once.groupBy("h1", "h2").agg(F.min("rank").alias("__f"), F.count(F.lit(1)).alias("__n"))
     first = first.filter("__n > 1").drop("__n")
-    return found.join(first, ["h1", "h2"]).filter(place != F.col("__f")).select("k", "dup", "start")
+    later = once.join(first, ["h1", "h2"]).filter("rank != __f").select("rank", "start")
+    return later.unionByName(found.filter("again").select("rank", "start"))
 
 
-def longer(found: DataFrame, levels: int) -> DataFrame:
-    """(k, dup, longest): words of the longest window of SPAN times a power of two in a document that repeats anywhere.
+def longer(found: DataFrame, levels: int = 64) -> DataFrame:
+    """(rank, longest): words of the longest window of SPAN times a power of two in a document that occurs twice or more.
 
     Each level pairs repeated windows with the repeated ones right after them, and goes on while any pair repeats.
     """
-    spark, best, level, length = found.sparkSession, None, found, SPAN
+    level, length, best = found.select("rank", "start", "h1", "h2"), SPAN, []
     for _ in range(levels):
         many = level.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2")
         level = materialize(level.join(many, ["h1", "h2"]), "span-level")
-        reach = level.select("k", "dup").distinct().withColumn("longest", F.lit(length))
-        best = reach if best is None else best.unionByName(reach)
+        best.append(level.select("rank").distinct().withColumn("longest", F.lit(length)))
         if level.isEmpty():
             break
-        after = level.select("k", "dup", (F.col("start") - length).alias("start"), F.col("h1").alias("a1"), F.col("h2").alias("a2"))
-        level = level.join(after, ["k", "dup", "start"])
-        level = level.select("k", "dup", "start", F.xxhash64("h1", "a1").alias("h1"), F.xxhash64(F.lit(2), "h2", "a2").alias("h2"))
+        after = level.select("rank", (F.col("start") - length).alias("start"), F.col("h1").alias("a1"), F.col("h2").alias("a2"))
+        level = level.join(after, ["rank", "start"])
+        level = level.select("rank", "start", F.xxhash64("h1", "a1").alias("h1"), F.xxhash64(F.lit(2), "h2", "a2").alias("h2"))
         length *= 2
-    return materialize(best.groupBy("k", "dup").agg(F.max("longest").alias("longest")), "span-longest") if best is not None else spark.createDataFrame([], "k long, dup int, longest int")
+    return functools.reduce(DataFrame.unionByName, best).groupBy("rank").agg(F.max("longest").alias("longest"))
 
 
 def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -191,9 +200,8 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFram
     narrow, halves = repeated_halves(docs)
     found = materialize(candidates(docs, halves), "span-windows")
     tidy(df.sparkSession)
-    later = later_windows(found).groupBy("k", "dup").agg(F.collect_set("start").alias("starts"))
-    later = later.withColumnRenamed("k", "__k")
-    plan = narrow.join(later, ["__k", "dup"], "left")
+    later = later_windows(found).groupBy("rank").agg(F.collect_set("start").alias("starts"))
+    plan = narrow.join(later, "rank", "left")
     plan = materialize(plan.filter("copy OR starts IS NOT NULL").select("__k", "__t", "copy", "starts"), "span-plan")
     release(found)
     tidy(df.sparkSession)
