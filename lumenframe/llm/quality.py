@@ -24,16 +24,20 @@ def words_of(text: str):
     return F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), SPACE), "")
 
 
+def neighbours(hashes: str, step: int):
+    """Hashes of every hash together with the one ``step`` places on."""
+    n = F.greatest(F.size(hashes) - step, F.lit(0))
+    return F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(1 + step), n), lambda a, b: F.xxhash64(a, b))
+
+
 def with_grams(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with __words and __grams, the buckets of its words and pairs of words."""
+    """``df`` with __words, and __ones and __twos, hashes of its words and pairs of words."""
+    df = df.withColumn("__words", words_of(text)).withColumn("__ones", F.transform("__words", lambda w: F.xxhash64(w)))
+    return df.withColumn("__twos", neighbours("__ones", 1))
 
-    def bucket(*parts):
-        return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
 
-    df = df.withColumn("__words", words_of(text))
-    n = F.greatest(F.size("__words") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("__words", F.lit(1), n), F.slice("__words", F.lit(2), n), lambda a, b: bucket(a, b))
-    return df.withColumn("__grams", F.concat(F.transform("__words", lambda w: bucket(w)), pairs))
+def bucket(h):
+    return F.pmod(h, F.lit(BUCKETS)).cast("int")
 
 
 def ratios(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -42,9 +46,10 @@ def ratios(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataF
     Counts are partial sums over BUCKETS keys in every task; the row has BUCKETS numbers at any size of the input.
     """
     known = trusted.select(F.col(doc_id).alias("__id")).filter("__id IS NOT NULL").distinct().withColumn("__trusted", F.lit(1))
-    marked = docs.select(doc_id, text).join(known, F.col(doc_id) == F.col("__id"), "left")
-    grams = with_grams(marked, text).select(F.explode("__grams").alias("bucket"), F.coalesce("__trusted", F.lit(0)).alias("t"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
+    # hashed by partition at any size: the ids of a partition fit, and texts need no sort
+    marked = docs.select(doc_id, text).join(known.hint("shuffle_hash"), F.col(doc_id) == F.col("__id"), "left")
+    grams = with_grams(marked, text).select(F.explode(F.concat("__ones", "__twos")).alias("h"), F.coalesce("__trusted", F.lit(0)).alias("t"))
+    counts = grams.groupBy(bucket(F.col("h")).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
     every = every.select("bucket", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("raw", "target")])
     rows = every.agg(
@@ -59,7 +64,10 @@ def ratios(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataF
 
 
 def base_counts(df: DataFrame, text: str) -> DataFrame:
-    """``df`` (with __words) with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
+    """``df`` (with the columns of :func:`with_grams`) with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
+
+    Windows are only hashed where four words in a row repeat, without which no longer window can.
+    """
     value = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(value, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumn("__lines", lines).withColumns(
@@ -70,7 +78,9 @@ def base_counts(df: DataFrame, text: str) -> DataFrame:
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
         }
     )
-    starts = F.when(F.size("__words") >= WINDOW, F.sequence(F.lit(1), F.size("__words") - (WINDOW - 1)))
+    df = df.withColumn("__fours", neighbours("__twos", 2))
+    some = (F.size("__words") >= WINDOW) & (F.size(F.array_distinct("__fours")) < F.size("__fours"))
+    starts = F.when(some, F.sequence(F.lit(1), F.size("__words") - (WINDOW - 1)))
     hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("__words", i, F.lit(WINDOW))))
     df = df.withColumn("__windows", hashes)
     some = F.size(F.array_distinct("__windows")) < F.size("__windows")
@@ -103,10 +113,12 @@ def judge(df: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str =
     line = ratios(df, trusted, doc_id, text).select(F.array_join("ratios", ",")).collect()[0][0]
     table = F.split(F.lit(line), ",").cast("array<bigint>")
     rows = base_counts(with_grams(df, text), text)
-    total = F.aggregate("__grams", F.lit(0).cast("long"), lambda s, g: s + F.element_at(table, g + 1))
+    total = F.lit(0).cast("long")
+    for grams in ("__ones", "__twos"):
+        total = F.aggregate(grams, total, lambda s, h: s + F.element_at(table, bucket(h) + 1))
     failed = (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     rows = rows.withColumn("base_failed", failed).withColumn("__total", total)
-    size = F.size("__grams")
+    size = F.size("__ones") + F.size("__twos")
     rows = rows.withColumn("score", F.when(size > 0, F.col("__total") / size))
     kept = ~F.col("base_failed") & (F.col("__total") >= size * THRESHOLD)
     return rows.withColumn("kept", kept).select(*names, *own)

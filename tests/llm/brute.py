@@ -20,9 +20,12 @@ def signed(x):
 
 
 def bucket(*parts, buckets=8192):
-    h = 42
-    for p in parts:
-        h = xxhash.xxh64_intdigest(p.encode(), seed=h)
+    hashes = [xxhash.xxh64_intdigest(p.encode(), seed=42) for p in parts]
+    h = hashes[0]
+    if len(hashes) > 1:
+        h = 42
+        for x in hashes:
+            h = xxhash.xxh64_intdigest(x.to_bytes(8, "little"), seed=h)
     return signed(h) % buckets
 
 
