@@ -2,7 +2,7 @@
 
 Windows of HALF words are counted first, and only those that repeat are extended to twice that length. Of the windows of HALF
 words, one for every window of SPAN words is enough: the one with the least hash among those it contains, which equal windows
-choose alike wherever they stand. A window of SPAN words is a candidate if the one it chose repeats, and is removed if its own 128-bit
+choose alike wherever they stand. A window of SPAN words is a candidate if the one it chose repeats, and is removed if its own 96-bit
 hash also starts earlier. :func:`longer` extends the repeated windows on, to twice the length each time, until none survives.
 
 Counts and first places are mergeable aggregates joined back, so that a passage shared by a third of all documents is
@@ -104,7 +104,8 @@ def repeated_halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     outs = [StructField("n_words", LongType()), StructField("halves", ArrayType(LongType()))]
     texts = docs.select("__k", "__t", "__null", "__text", F.md5("__text").alias("whole"))
-    found = materialize(add_columns(texts, "__text", outs, chosen).drop("__text"), "span-halves")
+    found = add_columns(texts, "__text", outs, chosen).drop("__text").withColumn("row", F.monotonically_increasing_id())
+    found = materialize(found, "span-halves")
 
     distinct = found.groupBy("__k", "__null", "__t").agg(F.max("n_words").alias("n_words"), F.first("whole").alias("whole"))
     ranked = distinct.orderBy("__k", "__null", "__t").withColumn("rank", F.monotonically_increasing_id())
@@ -114,8 +115,9 @@ def repeated_halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     narrow = materialize(narrow, "span-docs")
 
     count = found.select(F.explode("halves").alias("half")).groupBy("half").count().filter("count > 1").select("half")
-    own = found.select("__k", "__t", F.explode(F.array_distinct("halves")).alias("half"))
-    rows = own.join(count, "half").groupBy("__k", "__t").agg(F.collect_set("half").alias("halves"))
+    own = found.select("row", F.explode(F.array_distinct("halves")).alias("half"))
+    rows = own.join(count, "half").groupBy("row").agg(F.collect_list("half").alias("halves"))
+    rows = found.select("row", "__k", "__t").join(rows, "row").dropDuplicates(["__k", "__t"]).drop("row")
     kept = narrow.filter("NOT copy").select("__k", "__t", "rank").join(rows, ["__k", "__t"])
     halves = materialize(kept, "span-halves")
     release(found)
@@ -147,10 +149,11 @@ def candidates(docs: DataFrame, halves: DataFrame) -> DataFrame:
                 again = np.zeros(len(hit), bool)
                 again[order[1:][same]] = True
                 own = part.column("rank").take(pa.array(text))
-                columns = [own, pa.array(number.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(again)]
+                short = (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                columns = [own, pa.array(number.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(short), pa.array(again)]
                 yield pa.RecordBatch.from_arrays(columns, names=["rank", "start", "h1", "h2", "again"])
 
-    return rows.mapInArrow(run, "rank long, start int, h1 long, h2 long, again boolean")
+    return rows.mapInArrow(run, "rank long, start int, h1 long, h2 int, again boolean")
 
 
 def set_pairs(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -161,8 +164,7 @@ def set_pairs(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def later_windows(found: DataFrame) -> DataFrame:
     """(rank, start) of the windows whose words also start earlier."""
     once = found.filter("NOT again")
-    first = once.groupBy("h1", "h2").agg(F.min("rank").alias("__f"), F.count(F.lit(1)).alias("__n"))
-    first = first.filter("__n > 1").drop("__n")
+    first = once.groupBy("h1", "h2").agg(F.min("rank").alias("__f"))
     later = once.join(first, ["h1", "h2"]).filter("rank != __f").select("rank", "start")
     return later.unionByName(found.filter("again").select("rank", "start"))
 
@@ -181,7 +183,7 @@ def longer(found: DataFrame, levels: int = 64) -> DataFrame:
             break
         after = level.select("rank", (F.col("start") - length).alias("start"), F.col("h1").alias("a1"), F.col("h2").alias("a2"))
         level = level.join(after, ["rank", "start"])
-        level = level.select("rank", "start", F.xxhash64("h1", "a1").alias("h1"), F.xxhash64(F.lit(2), "h2", "a2").alias("h2"))
+        level = level.select("rank", "start", F.xxhash64("h1", "a1").alias("h1"), F.hash("h2", "a2").alias("h2"))
         length *= 2
     return functools.reduce(DataFrame.unionByName, best).groupBy("rank").agg(F.max("longest").alias("longest"))
 
