@@ -6,10 +6,13 @@ written as Parquet to the folder the cluster shares and read again.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from lumenframe.llm import bpe, jaccard, mixing, quality, spans
 from lumenframe.llm.queries import encoded
+from lumenframe.sources.package import ship
 from lumenframe.sources.scratch import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -44,12 +47,21 @@ def token_stage(spark, docs, sf_dir):
     return bpe.digest(encoded(docs))
 
 
+def shipped(stage):
+    @functools.wraps(stage)
+    def run_stage(spark, docs, sf_dir):
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality_stage),
-    ("n-gram Jaccard join", duplicate_stage),
-    ("substring dedup", span_stage),
-    ("mixing", mixing_stage),
-    ("BPE encoding and decoding", token_stage),
+    ("quality rules", shipped(quality_stage)),
+    ("n-gram Jaccard join", shipped(duplicate_stage)),
+    ("substring dedup", shipped(span_stage)),
+    ("mixing", shipped(mixing_stage)),
+    ("BPE encoding and decoding", shipped(token_stage)),
 ]
 
 #: Hashed n-grams, MinHash candidates and the tokenizer have no SQL; tests/llm compares with a brute-force version.

@@ -121,7 +121,9 @@ def judge(df: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str =
     size = F.size("__ones") + F.size("__twos")
     rows = rows.withColumn("score", F.when(size > 0, F.col("__total") / size))
     kept = ~F.col("base_failed") & (F.col("__total") >= size * THRESHOLD)
-    return rows.withColumn("kept", kept).select(*names, *own)
+    rows = rows.withColumn("kept", kept)
+    # a generator: a later filter on a result stays above it, instead of being computed anew inside every function above
+    return rows.select(*names, F.inline(F.array(F.struct(*own))))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

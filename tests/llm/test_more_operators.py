@@ -8,6 +8,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lumenframe.llm import bpe, chat, forest, html, language, mixing, queries, shards
 
@@ -74,7 +75,7 @@ def test_neighbours_on_clusters(spark):
     v[7] *= 3
     rows = list(enumerate(v.tolist()))
     df = spark.createDataFrame([*rows, *rows[:30], (None, [1.0] * 16), (9001, None), (9002, [0.0] * 16), (9003, [float("nan")] * 16), (9004, [1.0])], "vec_id long, embedding array<float>")
-    got = forest.neighbours(df, lambda c: c % 5 == 0, k=10).collect()
+    got = forest.neighbours(df, lambda c: F.col(c) % 5 == 0, k=10).collect()
     want = brute_neighbours(rows, 10)
     by = {}
     for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
@@ -86,9 +87,9 @@ def test_neighbours_on_clusters(spark):
 
 def test_neighbours_of_few_and_none(spark):
     kind = "vec_id long, embedding array<float>"
-    assert forest.neighbours(spark.createDataFrame([], kind), lambda c: c % 5 == 0).count() == 0
+    assert forest.neighbours(spark.createDataFrame([], kind), lambda c: F.col(c) % 5 == 0).count() == 0
     few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(1, 8)], kind)
-    got = forest.neighbours(few, lambda c: c == 5, k=20).collect()
+    got = forest.neighbours(few, lambda c: F.col(c) == 5, k=20).collect()
     assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [7, 6, 4, 3, 2, 1]
 
 
