@@ -18,7 +18,7 @@ INTERCEPT = "intercept"
 
 @dataclass(frozen=True)
 class NormalSums:
-    """X'X, X'y, y'y, sum of y and row count of a design with named terms."""
+    """X'X, X'y, y'y, sum of y and row count of a design with named terms; ``mean`` and ``centred`` are about the means."""
 
     terms: tuple[str, ...]
     xtx: np.ndarray
@@ -26,34 +26,49 @@ class NormalSums:
     yty: float
     y_sum: float
     n: int
+    mean: np.ndarray
+    centred: np.ndarray
 
 
 def normal_sums(df: DataFrame, features: Sequence[str], target: str, intercept: bool) -> NormalSums:
-    """One aggregation; the driver sees a row of at most MAX_TERMS squared numbers. Rows with nulls are left out."""
+    """Two aggregations: the means, then the products of the differences from them, which don't cancel when means are large.
+
+    The driver sees a row of at most MAX_TERMS squared numbers. Rows with nulls are left out.
+    """
     terms = ([INTERCEPT] if intercept else []) + list(features)
     if len(terms) > MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms: use the iterative estimators")
     rows = df.na.drop(subset=[*features, target])
-    x = [F.lit(1.0) if t == INTERCEPT else F.col(t).cast("double") for t in terms]
-    y = F.col(target).cast("double")
-    d = len(terms)
+    every = [F.col(c).cast("double") for c in (*features, target)]
+    d = len(every)
+    row = rows.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(every)], F.count(F.lit(1))).first()
+    mean, n = np.array([v or 0.0 for v in row[:d]]), row[-1]
+    off = [c - F.lit(float(m)) for c, m in zip(every, mean)]
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    sums = [F.sum(x[i] * x[j]) for i, j in pairs] + [F.sum(c * y) for c in x]
-    row = rows.agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)], F.sum(y * y), F.sum(y), F.count(F.lit(1))).first()
-    xtx = np.zeros((d, d))
-    for (i, j), v in zip(pairs, row):
-        xtx[i, j] = xtx[j, i] = v or 0.0
-    xty = np.array([v or 0.0 for v in row[len(pairs) : len(pairs) + d]])
-    return NormalSums(tuple(terms), xtx, xty, row[-3] or 0.0, row[-2] or 0.0, row[-1])
+    sums = rows.agg(*[F.sum(off[i] * off[j]).alias(f"s{k}") for k, (i, j) in enumerate(pairs)]).first()
+    centred = np.zeros((d, d))
+    for (i, j), v in zip(pairs, sums):
+        centred[i, j] = centred[j, i] = v or 0.0
+    raw = centred + n * np.outer(mean, mean)
+    if intercept:
+        raw = np.block([[np.array([[float(n)]]), n * mean[None, :]], [n * mean[:, None], raw]])
+    return NormalSums(tuple(terms), raw[:-1, :-1], raw[:-1, -1], float(raw[-1, -1]), float(n * mean[-1]), n, mean, centred)
 
 
 def least_squares(df: DataFrame, features: Sequence[str], target: str, intercept: bool = True) -> DataFrame:
     """``term, coef, se, t, r2``; without a constant r2 is the uncentred one."""
     s = normal_sums(df, features, target, intercept)
-    inverse = np.linalg.pinv(s.xtx)
-    coef = inverse @ s.xty
-    sse = max(float(s.yty - coef @ s.xty), 0.0)
-    total = s.yty - (s.y_sum**2 / s.n if intercept else 0.0)
+    if intercept:
+        slope = np.linalg.pinv(s.centred[:-1, :-1])
+        b, x = slope @ s.centred[:-1, -1], s.mean[:-1]
+        first = np.array([[(1 / s.n if s.n else 0.0) + x @ slope @ x]])
+        inverse = np.block([[first, -(slope @ x)[None, :]], [-(slope @ x)[:, None], slope]])
+        coef = np.concatenate([[s.mean[-1] - b @ x], b])
+        sse, total = max(float(s.centred[-1, -1] - b @ s.centred[:-1, -1]), 0.0), float(s.centred[-1, -1])
+    else:
+        inverse = np.linalg.pinv(s.xtx)
+        coef = inverse @ s.xty
+        sse, total = max(float(s.yty - coef @ s.xty), 0.0), s.yty
     free = s.n - len(s.terms)
     se = np.sqrt(np.diag(inverse) * sse / free) if free > 0 else np.full(len(coef), np.nan)
     r2 = float(1 - sse / total) if total else None

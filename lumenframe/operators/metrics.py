@@ -106,7 +106,7 @@ def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     ranked = running_sums(counts, [], [score], ["neg"])
     below = F.col("cum_neg") - F.col("neg") / 2
     return ranked.agg(
-        F.try_divide(F.sum(F.col("pos") * below), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc")
+        F.try_divide(F.sum(F.col("pos") * below), F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc")
     )
 
 

@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenframe.operators.joins import join_keys
 from lumenframe.sources.scratch import materialize
 
 # relative rank error asked of the sketch; tables up to this many rows per key are read exactly
@@ -30,8 +31,8 @@ def order_statistics(
 
     ``targets`` maps a name to (approximate relative rank, exact rank as a function of the row
     count). A mergeable sketch brackets each rank. A second pass keeps the values inside a bracket
-    and only counts the rows between brackets, so a key of any size is folded to a short list of
-    counted slots before the shuffle, and equal values to one of them.
+    and only counts the rows between brackets; equal values share a slot. The slots are numbered by
+    running sums over ranges of them, so that no key has to fit into one task.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
@@ -54,7 +55,7 @@ def order_statistics(
     )
     if keys:
         # written first: its real size decides whether the join is a broadcast
-        paired = rows.join(materialize(stats, "brackets"), keys)
+        paired = join_keys(rows, materialize(stats, "brackets"), keys)
     else:
         one = stats.first()  # a few numbers
         paired = rows.select("_v", *[F.lit(one[c] if one else None).alias(c) for c in limits])
@@ -65,8 +66,9 @@ def order_statistics(
     slots = paired.groupBy(*keys, passed.alias("_passed"), F.when(inside, v).alias("_in")).agg(
         F.count(F.lit(1)).alias("_c"), F.max("_v").alias("_top"), *[F.max(f"_rank{i}").alias(f"_rank{i}") for i in range(len(names))]
     )
-    end = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_top").rowsBetween(Window.unboundedPreceding, 0))
-    ranged = slots.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c"))
+    # a bracket holds a thousandth of the rows of its key, so its slots are summed over ranges as well
+    ranged = running_sums(slots, keys, ["_top"], ["_c"]).withColumnRenamed("cum__c", "_end")
+    ranged = ranged.withColumn("_start", F.col("_end") - F.col("_c"))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_in")))
@@ -150,7 +152,7 @@ def running_sums(
         *[F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_l_{c}") for c in sums],
         *([F.lead(following).over(inside).alias("_next_in")] if following else []),
     )
-    joined = local.join(offsets, ["_pid", *keys])
+    joined = join_keys(local, offsets, ["_pid", *keys])
     return joined.select(
         *df.columns,
         *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sums],

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.operators.joins import join_keys
 from lumenframe.operators.position import exact_quantiles
 from lumenframe.sources.scratch import materialize
 
@@ -24,14 +25,15 @@ def column_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     values = long_form(df, cols, "double")
     basic = values.groupBy("col").agg(
         F.count("value").alias("cnt"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
     )
     types = dict(df.dtypes)
     dtype = F.create_map(*[F.lit(x) for c in cols for x in (c, types[c])])
-    return basic.join(exact_quantiles(values, ["col"], "value", QUARTILES), "col", "left").select(
-        "col", dtype[F.col("col")].alias("dtype"), "cnt", "mean", "std", "min", "q1", "q2", "q3", "max",
-        (F.col("max") - F.col("min")).alias("rng"),
-    )
+    # the ends in the column's own type: the difference of two large whole numbers is exact
+    ends = [F.struct(F.lit(c).alias("col"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
+                     (F.max(c) - F.min(c)).cast("double").alias("rng")).alias(f"_{i}") for i, c in enumerate(cols)]
+    ends = df.agg(*ends).select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(cols))])))
+    found = basic.join(exact_quantiles(values, ["col"], "value", QUARTILES), "col", "left").join(ends, "col")
+    return found.select("col", dtype[F.col("col")].alias("dtype"), "cnt", "mean", "std", "min", "q1", "q2", "q3", "max", "rng")
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -78,7 +80,7 @@ def box_summary(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     v = F.col(col)
     low, high = F.col("q1") - iqr * 1.5, F.col("q3") + iqr * 1.5
-    return df.join(quartiles, list(keys)).groupBy(*keys, "q1", "q2", "q3").agg(
+    return join_keys(df, quartiles, keys).groupBy(*keys, "q1", "q2", "q3").agg(
         F.min(F.when(v >= low, v)).alias("lo"),
         F.max(F.when(v <= high, v)).alias("hi"),
         F.count_if((v < low) | (v > high)).alias("n_out"),
@@ -92,7 +94,7 @@ def zscore(df: DataFrame, keys: Sequence[str], col: str, out: str = "z") -> Data
     """
     stats = df.groupBy(*keys).agg(F.avg(col).alias("_mean"), F.stddev_pop(col).alias("_dev"))
     if keys:
-        rows = df.join(materialize(stats, "moments"), list(keys))
+        rows = join_keys(df, materialize(stats, "moments"), keys)
     else:
         one = stats.select(F.struct("_mean", "_dev")).scalar()
         rows = df.withColumn("_mean", one["_mean"]).withColumn("_dev", one["_dev"])

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenframe.operators.joins import join_keys
+
 
 def _by(keys: Sequence[str], time: str):
     return Window.partitionBy(*keys).orderBy(time)
@@ -139,7 +141,7 @@ def decompose(df: DataFrame, keys: Sequence[str], time: str, y: str, period: int
     centred = phases.select(
         *keys, "_phase", (F.col("_m") - F.avg("_m").over(Window.partitionBy(*keys))).alias("seasonal")
     )
-    joined = rows.join(centred, [*keys, "_phase"])
+    joined = join_keys(rows, centred, [*keys, "_phase"])
     return joined.select(*df.columns, "trend", "seasonal", (F.col(y) - F.col("trend") - F.col("seasonal")).alias("resid"))
 
 
@@ -150,7 +152,7 @@ def autocorrelation(df: DataFrame, keys: Sequence[str], time: str, y: str, max_l
     ahead = rows.select(
         *keys, F.col("_c").alias("_a"), F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("lag"), "_pos"
     ).withColumn("_pos", F.col("_pos") + F.col("lag"))
-    sums = ahead.join(rows, [*keys, "_pos"]).groupBy(*keys, "lag").agg(F.sum(F.col("_a") * F.col("_c")).alias("_s"))
+    sums = join_keys(ahead, rows, [*keys, "_pos"]).groupBy(*keys, "lag").agg(F.sum(F.col("_a") * F.col("_c")).alias("_s"))
     base = F.max(F.when(F.col("lag") == 0, F.col("_s"))).over(Window.partitionBy(*keys))
     return sums.select(*keys, "lag", F.try_divide(F.col("_s"), F.nullif(base, F.lit(0.0))).alias("r"))
 

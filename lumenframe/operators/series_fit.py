@@ -180,16 +180,23 @@ def fit_arma(y: np.ndarray, ar: Sequence[int], ma: Sequence[int], ridge: float =
     return coef[: len(ar)], coef[len(ar) :], y - x @ coef
 
 
-def hannan_rissanen(df: DataFrame, keys: Sequence[str], time: str, y: str, p: int, q: int) -> DataFrame:
-    """``keys, term, coef, sse``: ARMA(p, q) of the centred series by two regressions."""
+def hannan_rissanen(
+    df: DataFrame, keys: Sequence[str], time: str, y: str, p: int, q: int, seasonal: tuple[int, int, int] = (0, 0, 1)
+) -> DataFrame:
+    """``keys, term, coef, sse``: ARMA(p, q) of the centred series by two regressions.
+
+    ``seasonal`` (P, Q, season) adds seasonal terms to both parts; a term is named by its lag.
+    """
+    sp, sq, season = seasonal
+    ar_lags, ma_lags = _seasonal_lags(p, sp, season), _seasonal_lags(q, sq, season)
     schema = T.StructType(
         [*_key_fields(df, keys), T.StructField("term", T.StringType()), T.StructField("coef", T.DoubleType()), T.StructField("sse", T.DoubleType())]
     )
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         v = pdf.sort_values(time)[y].to_numpy(dtype="float64")
-        ar, ma, r = fit_arma(v - v.mean(), range(1, p + 1), range(1, q + 1))
-        names = [f"ar{i}" for i in range(1, p + 1)] + [f"ma{i}" for i in range(1, q + 1)]
+        ar, ma, r = fit_arma(v - v.mean(), ar_lags, ma_lags)
+        names = [f"ar{i}" for i in ar_lags] + [f"ma{i}" for i in ma_lags]
         out = pd.DataFrame({"term": names, "coef": np.concatenate([ar, ma]), "sse": float(r @ r)})
         for k in reversed(list(keys)):
             out.insert(0, k, pdf[k].iloc[0])

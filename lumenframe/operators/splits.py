@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.operators.joins import join_keys
 from lumenframe.operators.position import order_statistics, running_sums
 from lumenframe.sources.scratch import materialize
 
@@ -39,7 +40,7 @@ def holdout_chrono(
     """Column ``part``: first ceil (or floor) of n * train_part rows of every series by (time, tie) are 'train'.
 
     The cut is found as an order statistic of the time, then of the tie-breaker among the rows of
-    the cut time, so that no series is sorted in one task.
+    the cut time, so that no series is sorted in one task. Null is a series of its own; rows without a time are 'test'.
     """
     series = list(series)
     size = {"ceil": F.ceil, "floor": F.floor}[rounding]
@@ -49,18 +50,17 @@ def holdout_chrono(
 
     cut = order_statistics(df, series, time, {"cut": (train_part, last_train)})
     cut = materialize(cut.select(*series, F.col("lo").alias("_cut_time")), "cuts")
-    marked = df.join(cut, series)
+    marked = join_keys(df, cut, series, "left")
     counts = marked.groupBy(*series).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col(time) < F.col("_cut_time")).alias("_before"),
-        F.count_if(F.col(time) == F.col("_cut_time")).alias("_at"),
     )
-    need = counts.select(*series, "_at", (size(F.col("_n") * train_part) - F.col("_before")).alias("_need"))
-    at_cut = marked.filter(F.col(time) == F.col("_cut_time")).join(need, series)
+    need = counts.select(*series, (size(F.col("_n") * train_part) - F.col("_before")).alias("_need"))
+    at_cut = join_keys(marked.filter(F.col(time) == F.col("_cut_time")), need, series)
     tie_rank = at_cut.groupBy(*series, "_need", tie).agg(F.count(F.lit(1)).alias("_c"))
     # the rows of one instant of one series: rank by tie through a second order statistic
     tie_cut = materialize(_rank_value(tie_rank, series, tie), "cuts")
-    placed = marked.join(tie_cut, series)
+    placed = join_keys(marked, tie_cut, series, "left")
     train = (F.col(time) < F.col("_cut_time")) | (
         (F.col(time) == F.col("_cut_time")) & (F.col("_need") > 0) & (F.col(tie) <= F.col("_tie_cut"))
     )
@@ -76,19 +76,21 @@ def _rank_value(at_cut: DataFrame, series: list[str], tie: str) -> DataFrame:
     )
 
 
-def bootstrap_counts(df: DataFrame, key: str, seed: int = 42, max_count: int = 12) -> DataFrame:
+def bootstrap_counts(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """Column ``mult``: Poisson(1) multiplicity per row, by inversion of a hashed uniform number.
 
-    The distributed form of n draws with replacement. ``max_count`` only bounds the written-out
-    distribution: P(more than 12) is below 1e-10 and is folded into the last value.
+    The distributed form of n draws with replacement. The distribution is written out until the mass that is left is below the
+    resolution of the 48-bit number, so that no multiplicity the number can stand for is cut.
     """
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}-bootstrap")))
     u = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(16**12)
     mass, total, mult = 2.718281828459045**-1, 0.0, F.lit(0)
-    for k in range(max_count):
+    k = 0
+    while mass > 1 / 16**12:
         total += mass
         mult = mult + F.when(u >= total, F.lit(1)).otherwise(F.lit(0))
-        mass /= k + 1
+        k += 1
+        mass /= k
     return df.withColumn("mult", mult)
 
 

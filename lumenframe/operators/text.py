@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions.tokens import raw_tokens, words
+from lumenframe.operators.position import with_position
 from lumenframe.sources.scratch import materialize
 
 PAD, UNKNOWN, START, END = 0, 1, 2, 3
@@ -16,6 +17,8 @@ FIRST_ID = 4
 COMPOUND = 15.0
 # A negated word counts -0.74 times; a booster moves a valence by 0.293 away from 0.
 NEGATION = -0.74
+# word lists up to this length are constants of the plan
+LITERAL_WORDS = 2000
 BOOST = 0.293
 
 
@@ -42,43 +45,68 @@ def strip_stopwords(text: Column, stop: Sequence[str]) -> Column:
 
 
 def lemmatize(df: DataFrame, key: str, text: str, lemmas: DataFrame, out: str = "lemmas") -> DataFrame:
-    """``key, out, n_changed``: each token replaced by its lemma where ``lemmas(form, lemma)`` has one."""
-    tokens = df.select(key, F.posexplode_outer(raw_tokens(F.col(text))).alias("pos", "token"))
-    looked = tokens.join(lemmas.select(F.col("form").alias("token"), "lemma"), "token", "left")
-    item = F.struct("pos", F.coalesce("lemma", "token").alias("w"))
-    rows = looked.groupBy(key).agg(
-        F.sort_array(F.collect_list(item)).alias("_w"),
-        F.count_if(F.col("lemma") != F.col("token")).alias("n_changed"),
+    """``key, out, n_changed``: each token replaced by its lemma where ``lemmas(form, lemma)`` has one.
+
+    Lists of up to LITERAL_WORDS entries become a constant map and texts are mapped where they lie. For longer ones the different
+    words of each text meet the list, and the text is put together from what was found.
+    """
+    found, how = _looked_up(df.select(key, raw_tokens(F.col(text)).alias("_t")), lemmas.select("form", "lemma"))
+    lemma = F.transform("_t", lambda w: F.coalesce(how(w), w))
+    rows = found.select(key, "_t", lemma.alias("_l"))
+    changed = F.size(F.filter(F.zip_with("_t", "_l", lambda a, b: a != b), lambda x: x))
+    return rows.select(key, F.array_join("_l", " ").alias(out), F.greatest(changed, F.lit(0)).cast("long").alias("n_changed"))
+
+
+def _looked_up(rows: DataFrame, pairs: DataFrame):
+    """(``rows`` (.., _t), a function from a word of _t to its value in ``pairs`` (word, value) or null)."""
+    listed = pairs.limit(LITERAL_WORDS + 1).collect()
+    if len(listed) <= LITERAL_WORDS:
+        flat = [F.lit(x) for r in {r[0]: r for r in reversed(listed) if r[0] is not None}.values() for x in r]
+        if not flat:
+            return rows, lambda w: F.lit(None).cast(pairs.schema[1].dataType)
+        known = F.create_map(*flat)
+        return rows, lambda w: F.try_element_at(known, w)
+    word, value = pairs.columns
+    row = F.struct("*")
+    keyed = rows.withColumn("_row", F.xxhash64(F.to_json(row)))
+    own = keyed.select("_row", F.explode(F.array_distinct("_t")).alias(word)).distinct()
+    met = own.join(materialize(pairs, "words"), word).groupBy("_row").agg(
+        F.map_from_entries(F.collect_set(F.struct(word, value))).alias("_map")
     )
-    return rows.select(key, F.array_join(F.col("_w.w"), " ").alias(out), "n_changed")
+    joined = keyed.join(met, "_row", "left").drop("_row")
+    return joined, lambda w: F.try_element_at("_map", w)
 
 
 def sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, modifiers: DataFrame) -> DataFrame:
     """``key, compound``: valences summed per text and mapped into (-1, 1).
 
     ``lexicon(word, valence)``; ``modifiers(word, kind)`` with kind 'negation' or 'booster' acts on
-    the word that follows it. The word before is taken from the same array, without a window.
+    the word that follows it. Words are looked up as in :func:`lemmatize`, so no token is shuffled for short lists.
     """
-    w = words(F.col(text))
-    before = F.concat(F.array(F.lit("")), w)
-    pairs = df.select(key, F.explode_outer(F.zip_with(w, before, lambda a, b: F.struct(a.alias("w"), b.alias("b")))).alias("t"))
-    pairs = pairs.select(key, F.col("t.w").alias("word"), F.col("t.b").alias("before"))
-    scored = pairs.join(lexicon.select("word", "valence"), "word", "left").join(
-        modifiers.select(F.col("word").alias("before"), "kind"), "before", "left"
-    )
-    v = F.col("valence")
-    v = F.when(F.col("kind") == "negation", v * NEGATION).when(F.col("kind") == "booster", v + F.signum(v) * BOOST).otherwise(v)
-    sums = scored.groupBy(key).agg(F.coalesce(F.sum(v), F.lit(0.0)).alias("s"))
-    return sums.select(key, (F.col("s") / F.sqrt(F.col("s") * F.col("s") + COMPOUND)).alias("compound"))
+    rows, valence = _looked_up(df.select(key, words(F.col(text)).alias("_t")), lexicon.select("word", "valence"))
+    rows = rows.select(key, "_t", F.transform("_t", valence).alias("_v"))
+    rows, kind = _looked_up(rows, modifiers.select("word", "kind"))
+
+    def moved(v, k):
+        return F.when(k == "negation", v * NEGATION).when(k == "booster", v + F.signum(v) * BOOST).otherwise(v)
 
+    kinds = F.concat(F.array(F.lit("")), F.slice("_t", F.lit(1), F.greatest(F.size("_t") - 1, F.lit(0))))
+    rows = rows.select(key, "_v", F.transform(kinds, lambda w: F.coalesce(kind(w), F.lit(""))).alias("_k"))
+    parts = F.zip_with("_v", "_k", lambda v, k: F.coalesce(moved(v, k), F.lit(0.0)))
+    total = F.coalesce(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x), F.lit(0.0))
+    rows = rows.select(key, total.alias("s"))
+    return rows.select(key, (F.col("s") / F.sqrt(F.col("s") * F.col("s") + COMPOUND)).alias("compound"))
 
-def frequent_ids(df: DataFrame, text: str, size: int) -> DataFrame:
-    """``term, id``: the ``size`` most frequent words, numbered from FIRST_ID; ties by the word."""
+
+def frequent_ids(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
+    """``term, id``: all words, or the ``size`` most frequent, numbered from FIRST_ID by frequency; ties by the word.
+
+    Numbered over ranges of the words, so that the vocabulary may be of any size.
+    """
     counts = df.select(F.explode(words(F.col(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "term").limit(size).agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "term"))).alias("t")
-    )
-    return top.select(F.posexplode("t").alias("i", "t")).select(F.col("t.term").alias("term"), (F.col("i") + FIRST_ID).alias("id"))
+    placed = with_position(counts.withColumn("_less", -F.col("n")), [], ["_less", "term"])
+    placed = placed if size is None else placed.filter(F.col("pos") <= size)
+    return placed.select("term", (F.col("pos") + (FIRST_ID - 1)).alias("id"))
 
 
 def encode_ids(df: DataFrame, key: str, text: str, ids: DataFrame, length: int = 128) -> DataFrame:

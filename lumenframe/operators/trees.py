@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lumenframe.functions.impurity import gain
 from lumenframe.operators.position import running_sums
 from lumenframe.operators.prep import categories
-from lumenframe.sources.scratch import materialize
+from lumenframe.sources.scratch import materialize, release
 
 MAX_CLASSES = 200
 MAX_DEPTH = 30
@@ -71,7 +71,7 @@ def grow_tree(
     """Exact classification tree, all nodes of a level in one pass: ``node, feature, thr, n, cls``.
 
     The root is node 1, the children of i are 2i (value below the threshold) and 2i + 1. Leaves have
-    no feature. The rows carry their node; the split table of a level is joined to them.
+    no feature. The rows carry their node and are written once per level, so that no level replays those before it.
     """
     if not 0 <= depth <= MAX_DEPTH:
         raise ValueError(f"depth must lie in 0..{MAX_DEPTH}")
@@ -92,7 +92,8 @@ def grow_tree(
             F.sum("n").alias("n"), F.min(F.struct((-F.col("w")).alias("w"), "y"))["y"].alias("cls")
         )
         if level == depth:
-            levels.append(stats.select("node", F.lit(None).cast("string").alias("feature"), F.lit(None).cast("double").alias("thr"), "n", "cls"))
+            leaf = stats.select("node", F.lit(None).cast("string").alias("feature"), F.lit(None).cast("double").alias("thr"), "n", "cls")
+            levels.append(materialize(leaf, "level"))
             break
         x = [F.get(F.col("x"), F.lit(i)) for i in range(len(features))]
         found = best_splits(split_candidates(rows, ["node"], x, "y", F.col("w"), criterion, classes), ["node"])
@@ -100,13 +101,14 @@ def grow_tree(
             (F.col("n") >= min_split) & (F.col("n_left") >= min_leaf) & (F.col("n") - F.col("n_left") >= min_leaf)
         )
         splits = materialize(allowed.select("node", "feature", "thr"), "splits")
-        levels.append(
-            stats.join(splits, "node", "left").select("node", F.get(names, F.col("feature")).alias("feature"), "thr", "n", "cls")
-        )
+        known = stats.join(splits, "node", "left").select("node", F.get(names, F.col("feature")).alias("feature"), "thr", "n", "cls")
+        levels.append(materialize(known, "level"))
         if splits.isEmpty():
             break
         side = F.when(F.get(F.col("x"), F.col("feature")) < F.col("thr"), 0).otherwise(1)
-        rows = rows.join(splits, "node").select("x", "y", "w", (F.col("node") * 2 + side).alias("node"))
+        before, moved = rows, rows.join(splits, "node").select("x", "y", "w", (F.col("node") * 2 + side).alias("node"))
+        rows = materialize(moved, "rows")
+        release(before)
     tree = levels[0]
     for more in levels[1:]:
         tree = tree.unionByName(more)

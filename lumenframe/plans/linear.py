@@ -135,6 +135,34 @@ def curve_sql() -> str:
     return f"WITH {DOCZ_SQL.replace('docz AS (', 'docz AS MATERIALIZED (')}, {', '.join(parts)} {rows}"
 
 
+def accuracy_curve_sql() -> str:
+    parts = ["w0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS a_{c}" for c in SHAPE) + ", 0.0::DOUBLE AS hits)"]
+    z = " + ".join(f"a_{c} * {c}" for c in SHAPE)
+    for k in range(STEPS):
+        cols = ", ".join(
+            f"any_value(a_{c}) - {RATE} * (avg((1 / (1 + exp(-({z}))) - quality) * {c}) + {L2} * any_value(a_{c}) "
+            f"+ {L1} * sign(any_value(a_{c}))) AS a_{c}"
+            for c in SHAPE
+        )
+        hit = f"CASE WHEN (round({z}, 9) > 0) = (quality = 1) THEN 100.0 ELSE 0.0 END"
+        parts.append(f"w{k + 1} AS MATERIALIZED (SELECT {cols}, avg({hit}) AS hits FROM docz, w{k})")
+    rows = " UNION ALL ".join(f"SELECT {k} AS step, round(hits, 6) AS accuracy FROM w{k}" for k in range(1, STEPS + 1))
+    return f"WITH {DOCZ_SQL.replace('docz AS (', 'docz AS MATERIALIZED (')}, {', '.join(parts)} {rows}"
+
+
+@query("gd_accuracy_curve", accuracy_curve_sql())
+def gd_accuracy_curve(spark, sf):
+    """A learning curve of the caller: the accuracy before each step."""
+    rows = doc_shape_scaled(spark, sf)
+
+    def hits(y, z):
+        return F.avg(F.when((F.round(z, 9) > 0) == (y == 1), 100.0).otherwise(0.0))
+
+    _, curve = L.gradient_descent(rows, SHAPE, "quality", "cross_entropy", RATE, STEPS, L1, L2, curve_of=hits)
+    steps = spark.createDataFrame(list(enumerate(curve, 1)), "step int, accuracy double")
+    return round_doubles(steps)
+
+
 @query("gd_curve", curve_sql())
 def gd_curve(spark, sf):
     """The learning curve: the loss before each step."""

@@ -15,15 +15,20 @@ from lumenframe.operators import models as M
 from lumenframe.operators import selection as Sel
 from lumenframe.operators import tuning
 from lumenframe.operators import wrappers as W
-from lumenframe.operators.metrics import classification_report
+from lumenframe.operators.metrics import binary_f1, classification_report
 from lumenframe.operators.splits import holdout_hashed
 from lumenframe.plans.features import SHAPE, doc_shape_scaled, texts
 from lumenframe.plans.prep import round_doubles
 from lumenframe.plans.registry import query
-from lumenframe.plans.text import EDGES, LABELS, TOP, TOP_BAYES, compounds, counted, train_part
+from lumenframe.plans.text import EDGES, LABELS, TOK_SQL, TOP, VARIANCE_P, compounds, counted, train_part
 from lumenframe.sources.scratch import materialize
 
 ROUNDS = 5
+# trials of a search, and the values of a sweep
+TRIALS = 100
+# share of the terms that a fit of the recursive elimination drops; steps of the forward selection
+RFE_SHARE, FORWARD = 0.5, 5
+DEPTHS, TREES = range(1, 31), (1, 2, 5, 10, 20, 50, 100)
 
 
 def shape_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -66,7 +71,7 @@ def samme_fit(spark, sf):
 @query("depth_sweep")
 def depth_sweep(spark, sf):
     train, test = shape_parts(spark, sf)
-    trials = [{"model": "tree", "value": d} for d in (1, 2, 4, 8)] + [{"model": "forest", "value": t} for t in (5, 10, 20)]
+    trials = [{"model": "tree", "value": d} for d in DEPTHS] + [{"model": "forest", "value": t} for t in TREES]
 
     def build(p):
         return M.tree(p["value"]) if p["model"] == "tree" else M.forest(p["value"])
@@ -77,26 +82,46 @@ def depth_sweep(spark, sf):
 
 @query("holdout_search")
 def holdout_search(spark, sf):
-    """Random search on a validation part cut from the train rows."""
+    """Random search over models and their parameters, on a validation part cut from the train rows."""
     train, _ = shape_parts(spark, sf)
     inner = holdout_hashed(train.drop("part"), "doc_id", 80, seed=43)
-    space = {"depth": tuning.IntRange(1, 8), "min_leaf": tuning.IntRange(1, 10), "criterion": tuning.Choice(("gini", "entropy"))}
-    trials = tuning.draws(space, 8, seed=42)
-    results = tuning.run_trials(
-        inner.filter("part = 'train'"), inner.filter("part = 'test'"),
-        lambda p: M.tree(p["depth"], p["criterion"], p["min_leaf"]), trials,
-    )
+    fit_rows = inner.filter("part = 'train'")
+    n = fit_rows.count()
+    space = {
+        "model": tuning.Choice(("tree", "forest", "logistic", "linear_svm")), "depth": tuning.IntRange(1, 8), "trees": tuning.IntRange(1, 20),
+        "min_leaf": tuning.IntRange(1, 10), "criterion": tuning.Choice(("gini", "entropy")), "penalty": tuning.FloatRange(0.0, 0.2),
+    }
+
+    def build(p):
+        if p["model"] == "tree":
+            return M.tree(p["depth"], p["criterion"], p["min_leaf"])
+        if p["model"] == "forest":
+            return M.forest(p["trees"], p["depth"], "sqrt", p["criterion"])
+        return M.logistic(regParam=p["penalty"]) if p["model"] == "logistic" else M.linear_svm(n, 1 / (p["penalty"] * n + 1e-3))
+
+    trials = tuning.draws(space, TRIALS, seed=42)
+    results = tuning.run_trials(fit_rows, inner.filter("part = 'test'"), build, trials)
     best = tuning.best_trial(results)
     rows = [(i, json.dumps(p), a, f, i == best) for i, (p, a, f) in enumerate(results)]
     return round_doubles(spark.createDataFrame(rows, "trial int, params string, accuracy double, f1 double, best boolean"))
 
 
-def term_parts(spark, sf, size):
-    """(chi2-best terms in order, train vectors, test vectors, counts, labels)."""
+@query("metric_search")
+def metric_search(spark, sf):
+    """Tree depths by a metric of the caller: F1 of class 1."""
+    train, test = shape_parts(spark, sf)
+    trials = [{"depth": d} for d in range(1, 11)]
+    results = tuning.run_trials(train, test, lambda p: M.tree(p["depth"]), trials, metric=binary_f1)
+    best = tuning.best_trial(results)
+    rows = [(p["depth"], a, f, i == best) for i, (p, a, f) in enumerate(results)]
+    return round_doubles(spark.createDataFrame(rows, "depth int, accuracy double, f1 double, best boolean"))
+
+
+def term_parts(spark, sf):
+    """(terms, train vectors, test vectors, train counts, train labels) over the whole train vocabulary."""
     counts, labels = counted(spark, sf)
     train_counts, train = train_part(counts, labels)
-    best = Sel.top_terms(Sel.chi2_scores(train_counts, train, "doc_id", "quality"), size)
-    terms = [r["term"] for r in best.orderBy("rank").collect()]
+    terms = M.vocabulary_list(train_counts, "term")
     docs = texts(spark, sf).join(labels, "doc_id")
     rows = M.term_vectors(
         docs.withColumn("label", F.col("quality").cast("double")), "text", terms, ["doc_id", "label", "part"]
@@ -106,22 +131,42 @@ def term_parts(spark, sf, size):
 
 @query("rfe_select")
 def rfe_select(spark, sf):
-    terms, train, *_ = term_parts(spark, sf, TOP_BAYES // 2)
-    left = W.rfe_select(train, len(terms), TOP)
+    terms, train, *_ = term_parts(spark, sf)
+    left = W.rfe_select(train, len(terms), TOP, step=RFE_SHARE)
     rows = [(terms[i], r) for r, i in enumerate(left, 1)]
     return spark.createDataFrame(rows, "term string, rank int")
 
 
-@query("forward_select")
+def forward_sql() -> str:
+    parts = [f"""WITH {TOK_SQL}
+t AS MATERIALIZED (SELECT doc_id, term, cnt::DOUBLE AS x FROM tc WHERE train),
+n AS MATERIALIZED (SELECT count(*)::DOUBLE AS n, avg(CASE quality WHEN 1 THEN 1.0 ELSE -1.0 END) AS m FROM lab WHERE train),
+d0 AS MATERIALIZED (SELECT doc_id, CASE quality WHEN 1 THEN 1.0 ELSE -1.0 END - m AS r FROM lab, n WHERE train)"""]
+    for k in range(1, FORWARD + 1):
+        old = range(1, k)
+        cross = "".join(f", sum(x * q{i}) AS c{i}" for i in old)
+        rest = "sum(x * x) - pow(sum(x), 2) / any_value(n)" + "".join(f" - pow(sum(x * q{i}), 2)" for i in old)
+        gone = "".join(f" - b.c{i} * q{i}" for i in old)
+        parts.append(f"""b{k} AS MATERIALIZED (SELECT * FROM (SELECT term, sum(x) AS s, sum(x * r) AS num, sum(x * x) AS sq, {rest} AS den{cross}
+  FROM t JOIN d{k - 1} USING (doc_id), n GROUP BY term) WHERE den > 1e-9 * sq ORDER BY round(num * num / den, 9) DESC, term LIMIT 1),
+d{k} AS MATERIALIZED (SELECT * EXCLUDE (num, den) REPLACE (r - num / sqrt(den) * q{k} AS r) FROM (
+  SELECT d.*, b.num, b.den, (coalesce(t.x, 0) - b.s / n{gone}) / sqrt(b.den) AS q{k}
+  FROM d{k - 1} d CROSS JOIN b{k} b CROSS JOIN n LEFT JOIN t ON t.doc_id = d.doc_id AND t.term = b.term))""")
+    rows = " UNION ALL ".join(f"SELECT {k} AS step, (SELECT term FROM b{k}) AS term, (SELECT sum(r * r) FROM d{k}) AS sse" for k in range(1, FORWARD + 1))
+    return ",\n".join(parts) + f"""
+SELECT step::INT AS step, term, round(1 - sse / (SELECT sum(r * r) FROM d0), 6) AS r2 FROM ({rows})"""
+
+
+@query("forward_select", forward_sql())
 def forward_select(spark, sf):
-    terms, train, *_ = term_parts(spark, sf, 10)
-    rows = [(r, terms[i], a) for r, (i, a) in enumerate(W.forward_select(train, "doc_id", range(len(terms)), 3), 1)]
-    return round_doubles(spark.createDataFrame(rows, "step int, term string, accuracy double"))
+    """Each step takes the term of all that explains most of what is left of the class."""
+    counts, train = train_part(*counted(spark, sf))
+    return round_doubles(Sel.forward_terms(counts, train, "doc_id", F.col("quality") == 1, FORWARD))
 
 
 @query("importance_select")
 def importance_select(spark, sf):
-    terms, train, *_ = term_parts(spark, sf, TOP_BAYES)
+    terms, train, *_ = term_parts(spark, sf)
     scores = W.importances(train)
     order = sorted(range(len(terms)), key=lambda i: (-round(scores[i], 9), terms[i]))[:TOP]
     rows = [(terms[i], float(scores[i]), r) for r, i in enumerate(order, 1)]
@@ -130,22 +175,24 @@ def importance_select(spark, sf):
 
 @query("select_then_score")
 def select_then_score(spark, sf):
-    terms, train, test, counts, labels = term_parts(spark, sf, TOP_BAYES)
+    """Scores of classifiers on all terms, and on TOP of them as chosen by every selector from all terms."""
+    terms, train, test, counts, labels = term_parts(spark, sf)
     index = {t: i for i, t in enumerate(terms)}
-    known = spark.createDataFrame([(t,) for t in terms], "term string")
 
-    def indices(scores):
-        return [index[r["term"]] for r in Sel.top_terms(scores.join(known, "term", "left_semi"), TOP).collect()]
+    def indices(chosen):
+        return [index[r["term"]] for r in chosen.select("term").collect()]
 
     importance = W.importances(train)
     selections = {
-        "none": range(len(terms)),
-        "chi2": range(min(TOP, len(terms))),
-        "mutual_info": indices(Sel.mutual_info_scores(counts, labels, "doc_id", "quality")),
-        "variance": indices(Sel.variance_scores(counts, labels, "doc_id")),
+        "none": None,
+        "chi2": indices(Sel.top_terms(Sel.chi2_scores(counts, labels, "doc_id", "quality"), TOP)),
+        "mutual_info": indices(Sel.top_terms(Sel.mutual_info_scores(counts, labels, "doc_id", "quality"), TOP)),
+        "variance": indices(Sel.variance_select(Sel.variance_scores(counts, labels, "doc_id"), VARIANCE_P, TOP)),
+        "rfe": W.rfe_select(train, len(terms), TOP, step=RFE_SHARE),
+        "forward": indices(Sel.forward_terms(counts, labels, "doc_id", F.col("quality") == 1, FORWARD)),
         "importance": sorted(range(len(terms)), key=lambda i: -importance[i])[:TOP],
     }
-    classifiers = {"naive_bayes": M.naive_bayes(), "logistic": M.logistic(maxIter=20), "forest": M.forest(10)}
+    classifiers = {"naive_bayes": M.naive_bayes(), "logistic": M.logistic(regParam=0.01), "tree": M.tree(), "linear_svm": M.linear_svm(train.count())}
     rows = W.effect_of_selection(train, test, selections, classifiers)
     return round_doubles(spark.createDataFrame(rows, "selector string, model string, accuracy double, f1 double, auc double"))
 

@@ -65,7 +65,9 @@ SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
        regexp_extract(html, '<html[^>]* lang="([^"]*)"', 1) AS lang,
        regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h1,
        len(regexp_extract_all(html, '<a href='))::INT AS links,
-       regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host,
+       regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/]+/([^/?#]+)/', 1) AS department,
+       regexp_extract(html, '^<!DOCTYPE (\w+)', 1) AS type,
+       coalesce(try_cast(nullif(regexp_extract(html, 'track\((\d+)\)', 1), '') AS INT), -1) AS views,
        coalesce(try_cast(nullif(regexp_extract(url, '/(\d+)(?:[?#]|$)', 1), '') AS INT), -1) AS number,
        round(octet_length(encode(html)) / 1024.0, 6) AS size_kb
 FROM pages

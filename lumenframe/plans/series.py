@@ -180,6 +180,12 @@ def hannan_rissanen(spark, sf):
     return round_doubles(SF.hannan_rissanen(weekly(spark, sf), KEY, "week", "y", 2, 1))
 
 
+@query("seasonal_arma_fit")
+def seasonal_arma_fit(spark, sf):
+    """All coefficients of a seasonal fit: AR, MA and both seasonal parts."""
+    return round_doubles(SF.hannan_rissanen(weekly(spark, sf), KEY, "week", "y", 1, 1, (1, 1, SEASON)))
+
+
 LAGS = S.lag_columns(1, 1, SEASON)
 AR_ALPHA = 0.5
 

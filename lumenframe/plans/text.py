@@ -16,10 +16,9 @@ from lumenframe.plans.registry import query
 from lumenframe.sources.scratch import materialize
 from lumenframe.sources.tables import table
 
-MIN_DOCS = 5
-TOP, TOP_BAYES = 30, 200
+TOP = 30
 VARIANCE_P = 0.9
-VOCABULARY, LENGTH = 1000, 128
+LENGTH = 128
 
 # Stop words of the four languages of the texts.
 STOPWORDS = (
@@ -47,7 +46,7 @@ tok AS (SELECT doc_id, term FROM (SELECT doc_id, unnest(string_split_regex(lower
 lab AS (SELECT doc_id, quality, ('0x' || substr(md5(doc_id::VARCHAR || '-42'), 1, 8))::BIGINT % 100 < 75 AS train
         FROM labels JOIN documents USING (doc_id)),
 allc AS (SELECT doc_id, term, count(*) AS cnt FROM tok JOIN lab USING (doc_id) GROUP BY doc_id, term),
-voc AS (SELECT term FROM allc JOIN lab USING (doc_id) WHERE train GROUP BY term HAVING count(*) >= 5),
+voc AS (SELECT DISTINCT term FROM allc JOIN lab USING (doc_id) WHERE train),
 tc AS (SELECT allc.*, quality, train FROM allc JOIN voc USING (term) JOIN lab USING (doc_id)),
 sz AS (SELECT count(*) FILTER (quality = 0) AS s0, count(*) FILTER (quality = 1) AS s1, count(*)::DOUBLE AS n FROM lab WHERE train),
 """
@@ -83,7 +82,7 @@ def counted(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     docs = texts(spark, sf).join(labels.select("doc_id", "part"), "doc_id")
     counts = materialize(T.term_counts(docs, "doc_id", "text"), "counts")
     train = labels.filter("part = 'train'")
-    vocabulary = T.vocabulary(counts.join(train.select("doc_id"), "doc_id", "left_semi"), MIN_DOCS)
+    vocabulary = T.vocabulary(counts.join(train.select("doc_id"), "doc_id", "left_semi"))
     return materialize(T.keep_terms(counts, vocabulary), "kept"), labels
 
 
@@ -144,9 +143,9 @@ def selection_table(spark, sf):
     return Sel.side_by_side(chosen_sets(spark, sf))
 
 
-@query("naive_bayes", f"""WITH {CHI_SQL}
+@query("naive_bayes", f"""WITH {TOK_SQL}
 m AS (SELECT term, coalesce(sum(cnt) FILTER (quality = 0), 0) AS c0, coalesce(sum(cnt) FILTER (quality = 1), 0) AS c1
-      FROM tc WHERE train AND term IN (SELECT term FROM chi WHERE rank <= {TOP_BAYES}) GROUP BY term),
+      FROM tc WHERE train GROUP BY term),
 l AS (SELECT term, ln((c0 + 1) / (sum(c0) OVER () + count(*) OVER ())) AS l0, ln((c1 + 1) / (sum(c1) OVER () + count(*) OVER ())) AS l1 FROM m),
 s AS (SELECT lab.doc_id, lab.quality, coalesce(sum(cnt * l0), 0) + any_value(ln(s0 / n)) AS p0, coalesce(sum(cnt * l1), 0) + any_value(ln(s1 / n)) AS p1
       FROM lab LEFT JOIN (SELECT doc_id, cnt, l0, l1 FROM tc JOIN l USING (term)) t USING (doc_id), sz GROUP BY lab.doc_id, lab.quality)
@@ -154,12 +153,9 @@ SELECT doc_id, quality, CASE WHEN round(p1, 9) > round(p0, 9) THEN 1 ELSE 0 END
 """)
 def naive_bayes(spark, sf):
     counts, labels = counted(spark, sf)
-    train_counts, train = train_part(counts, labels)
-    best = Sel.top_terms(Sel.chi2_scores(train_counts, train, "doc_id", "quality"), TOP_BAYES)
-    kept = materialize(T.keep_terms(counts, best), "kept")
-    model, priors = Sel.naive_bayes_fit(T.keep_terms(train_counts, best), train, "doc_id", "quality")
+    model, priors = Sel.naive_bayes_fit(*train_part(counts, labels), "doc_id", "quality")
     docs = labels.select("doc_id", "quality")
-    return Sel.naive_bayes_predict(kept, docs, "doc_id", materialize(model, "model"), priors)
+    return Sel.naive_bayes_predict(counts, docs, "doc_id", materialize(model, "model"), priors)
 
 
 SPACE_SQL = r"list_filter(string_split_regex(text, '[\t-\r\x1c-\x1f\x{85}\p{Z}]+'), lambda w: w <> '')"
@@ -243,7 +239,7 @@ def sentiment_label(spark, sf):
 @query("encode_ids", rf"""
 WITH t AS (SELECT doc_id, unnest(k) AS term, generate_subscripts(k, 1) - 1 AS pos FROM
       (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}_]+'), lambda w: w <> '') AS k FROM documents)),
-v AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) + 3 AS id FROM t GROUP BY term QUALIFY id < {VOCABULARY} + 4),
+v AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) + 3 AS id FROM t GROUP BY term),
 b AS (SELECT doc_id, pos // {LENGTH - 2} AS block, pos % {LENGTH - 2} + 1 AS slot, coalesce(id, 1) AS id FROM t LEFT JOIN v USING (term)),
 g AS (SELECT doc_id, block, count(*) AS n, sum(id) AS s, sum(id * slot) AS ps FROM b GROUP BY doc_id, block
       UNION ALL SELECT doc_id, 0, 0, 0, 0 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM t))
@@ -252,7 +248,7 @@ SELECT doc_id, block::INT AS block, (n + 2)::INT AS n_real, (s + 5)::BIGINT AS i
 def encode_ids(spark, sf):
     """Whole texts in blocks of LENGTH ids; block 0 is the text cut to the length."""
     docs = texts(spark, sf)
-    rows = T.encode_ids(docs, "doc_id", "text", T.frequent_ids(docs, "text", VOCABULARY), LENGTH)
+    rows = T.encode_ids(docs, "doc_id", "text", T.frequent_ids(docs, "text"), LENGTH)
     ids = F.transform("ids", lambda x: x.cast("long"))
     placed = F.transform(ids, lambda x, i: x * i)
 

@@ -14,16 +14,22 @@ HEADING = r"<h1>([^<]*)</h1>"
 LINK = r"<a href="
 HOST = r"^[a-z]+://([^/]+)"
 NUMBER = r"/(\d+)(?:[?#]|$)"
+DEPARTMENT = r"^[a-z]+://[^/]+/([^/?#]+)/"
+KIND = r"^<!DOCTYPE (\w+)"
+VIEWS = r"track\((\d+)\)"
 
 
 def page_fields(html: Column, url: Column) -> dict[str, Column]:
-    """Title, language, heading, link count, host, record number (-1 if none) and size in KB."""
+    """Title, language, heading, link count, host, department, type, views and record number (-1 if none) and size in KB."""
     return {
         "title": F.regexp_extract(html, TITLE, 1),
         "lang": F.regexp_extract(html, LANG, 1),
         "h1": F.regexp_extract(html, HEADING, 1),
         "links": F.regexp_count(html, F.lit(LINK)),
         "host": F.regexp_extract(url, HOST, 1),
+        "department": F.regexp_extract(url, DEPARTMENT, 1),
+        "type": F.regexp_extract(html, KIND, 1),
+        "views": safe_int(F.regexp_extract(html, VIEWS, 1), -1),
         "number": safe_int(F.regexp_extract(url, NUMBER, 1), -1),
         "size_kb": F.round(size_kb(html), 6),
     }
