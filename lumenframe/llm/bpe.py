@@ -27,7 +27,7 @@ WINDOW = 64
 #: Tokens that a window must share with a side, at the same places.
 AGREE = 4
 #: Pieces between spaces whose ids a worker remembers; when full it starts afresh.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 #: Stops that may follow a word.
 STOPS = ".,;:!?"
 #: Bytes of text that a worker encodes at a time.
