@@ -54,7 +54,7 @@ class Choice:
         return rng.choice(self.values)
 
 
-def draws(space: Mapping[str, IntRange | FloatRange | Choice], trials: int, seed: int) -> list[dict]:
+def draws(space: Mapping[str, IntRange | FloatRange | Choice], trials: int = 100, seed: int = 42) -> list[dict]:
     """``trials`` seeded random parameter sets."""
     rng = random.Random(seed)
     return [{name: kind.draw(rng) for name, kind in space.items()} for _ in range(trials)]
