@@ -27,7 +27,7 @@ ROUNDS = 5
 # trials of a search, and the values of a sweep
 TRIALS = 30
 # share of the terms that a fit of the recursive elimination drops; steps of the forward selection
-RFE_SHARE, FORWARD = 0.5, 5
+RFE_SHARE, RFE_ITERATIONS, FORWARD = 0.5, 20, 5
 DEPTHS, TREES = (1, 2, 3, 4, 6, 8, 12, 16, 20, 25, 30), (1, 5, 20, 50, 100)
 
 
@@ -132,7 +132,7 @@ def term_parts(spark, sf):
 @query("rfe_select")
 def rfe_select(spark, sf):
     terms, train, *_ = term_parts(spark, sf)
-    left = W.rfe_select(train, len(terms), TOP, step=RFE_SHARE)
+    left = W.rfe_select(train, len(terms), TOP, step=RFE_SHARE, iterations=RFE_ITERATIONS)
     rows = [(terms[i], r) for r, i in enumerate(left, 1)]
     return spark.createDataFrame(rows, "term string, rank int")
 
@@ -188,7 +188,7 @@ def select_then_score(spark, sf):
         "chi2": indices(Sel.top_terms(Sel.chi2_scores(counts, labels, "doc_id", "quality"), TOP)),
         "mutual_info": indices(Sel.top_terms(Sel.mutual_info_scores(counts, labels, "doc_id", "quality"), TOP)),
         "variance": indices(Sel.variance_select(Sel.variance_scores(counts, labels, "doc_id"), VARIANCE_P, TOP)),
-        "rfe": W.rfe_select(train, len(terms), TOP, step=RFE_SHARE),
+        "rfe": W.rfe_select(train, len(terms), TOP, step=RFE_SHARE, iterations=RFE_ITERATIONS),
         "forward": indices(Sel.forward_terms(counts, labels, "doc_id", F.col("quality") == 1, FORWARD)),
         "importance": sorted(range(len(terms)), key=lambda i: -importance[i])[:TOP],
     }
