@@ -183,7 +183,7 @@ def test_neighbor_counts_and_votes(spark):
     assert fixed.first()["pred"] == 1  # one vote each, the lower class wins
     assert N.vote(near, label="label", kernel="uniform", k=3).first()["pred"] == 2
     zero = N.vote(near, label="label", kernel="triangular", bandwidth=0.01)
-    assert zero.first()["pred"] == 0
+    assert zero.first()["pred"] == 1  # no weight at all: the least class there is
     flat = near.withColumn("dist", F.lit(0.0))
     assert N.vote(flat, label="label", kernel="gaussian", k=3).first()["pred"] == 2
     exact = near.withColumn("dist", F.when(F.col("nb") == 11, 0.0).otherwise(F.col("dist")))
@@ -191,10 +191,10 @@ def test_neighbor_counts_and_votes(spark):
     assert N.distance_vote(near, label="label", k=3, weights="uniform").first()["pred"] == 2
 
 
-def test_zero_vector_is_refused(spark):
+def test_zero_vector_does_not_stop_the_search(spark):
     df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0])], "id long, vec array<double>")
-    with pytest.raises(Exception, match="other than zero"):
-        N.nearest(df, df, 1, id_col="id", vec_col="vec", metric="cosine").collect()
+    near = N.nearest(df, df, 2, id_col="id", vec_col="vec", metric="cosine").collect()
+    assert {(r.probe, r.nb): r.dist for r in near} == {(1, 1): 1.0, (1, 2): 1.0, (2, 1): 1.0, (2, 2): 0.0}
 
 
 def test_kernel_fold_blocks(vectors):
