@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import warnings
 
 import numpy as np
 import pytest
@@ -228,3 +229,20 @@ def test_caller_functions(points):
     rows = Mo.assemble(points, ["a", "b", "c"], "y", ["id"])
     found = tuning.run_trials(rows, rows, lambda p: Mo.tree(p["d"]), [{"d": 1}, {"d": 3}], metric=M.binary_f1)
     assert found[1][2] > found[0][2] > 0.5 and found[1][1] > found[0][1]
+
+
+def test_elimination_fits_end_by_tolerance(points, spark, folder, monkeypatch):
+    """The registered query leaves the iterations to the operator, which warns of fits that the cap ends."""
+    from lumenframe.plans import models as plans
+
+    seen = []
+    monkeypatch.setattr(plans, "term_parts", lambda *_: (["a", "b", "c"], Mo.assemble(points, ["a", "b", "c"], "y", ["id"])))
+    monkeypatch.setattr(plans, "TOP", 2)
+    monkeypatch.setattr(Mo, "linear_svm", lambda n, c, i, real=Mo.linear_svm: seen.append(i) or real(n, c, i))
+    assert [r["term"] for r in scores(spark, folder, "rfe_select")] == ["a", "b"] and seen == [100]
+    rows = Mo.assemble(points, ["a", "b", "c"], "y", ["id"])
+    with pytest.warns(RuntimeWarning, match="stopped after 1 iterations"):
+        W.rfe_select(rows, 3, 2, iterations=1)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        assert W.rfe_select(rows, 3, 2) == [0, 1]
