@@ -25,10 +25,10 @@ from lumenframe.sources.scratch import materialize
 
 ROUNDS = 5
 # trials of a search, and the values of a sweep
-TRIALS = 30
+TRIALS = 100
 # share of the terms that a fit of the recursive elimination drops; steps of the forward selection
 RFE_SHARE, FORWARD = 0.5, 5
-DEPTHS, TREES = (1, 2, 3, 4, 6, 8, 12, 16, 20, 25, 30), (1, 5, 20, 50, 100)
+DEPTHS, TREES = range(1, 31), (1, 2, 5, 10, 20, 50, 100)
 
 
 def shape_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

@@ -246,3 +246,16 @@ def test_elimination_fits_end_by_tolerance(points, spark, folder, monkeypatch):
     with warnings.catch_warnings():
         warnings.simplefilter("error", RuntimeWarning)
         assert W.rfe_select(rows, 3, 2) == [0, 1]
+
+
+def test_registered_searches_are_whole(points, spark, folder, monkeypatch):
+    """100 trials, every depth that the estimators take and all forest sizes."""
+    from lumenframe.plans import models as plans
+
+    rows = Mo.assemble(points, ["a", "b", "c"], "y", ["id"]).withColumnRenamed("id", "doc_id")
+    monkeypatch.setattr(plans, "shape_parts", lambda *_: (rows.withColumn("part", F.lit("train")), rows))
+    monkeypatch.setattr(tuning, "run_trials", lambda train, test, build, trials: [(p, 1.0, 1.0) for p in trials if build(p)])
+    assert len(scores(spark, folder, "holdout_search")) == 100
+    swept = [(r["model"], r["value"]) for r in scores(spark, folder, "depth_sweep")]
+    assert sorted(v for m, v in swept if m == "tree") == list(range(1, 31))
+    assert sorted(v for m, v in swept if m == "forest") == [1, 2, 5, 10, 20, 50, 100]
