@@ -26,7 +26,7 @@ from lumenframe.sources.scratch import materialize
 ROUNDS = 5
 # trials of a search, and the values of a sweep
 TRIALS = 100
-# share of the terms that a fit of the recursive elimination drops; steps of the forward selection
+# share of the terms that a fit of the recursive elimination drops; steps of the forward selection that the SQL states
 RFE_SHARE, FORWARD = 0.5, 5
 DEPTHS, TREES = range(1, 31), (1, 2, 5, 10, 20, 50, 100)
 
@@ -189,7 +189,7 @@ def select_then_score(spark, sf):
         "mutual_info": indices(Sel.top_terms(Sel.mutual_info_scores(counts, labels, "doc_id", "quality"), TOP)),
         "variance": indices(Sel.variance_select(Sel.variance_scores(counts, labels, "doc_id"), VARIANCE_P, TOP)),
         "rfe": W.rfe_select(train, len(terms), TOP, step=RFE_SHARE),
-        "forward": indices(Sel.forward_terms(counts, labels, "doc_id", F.col("quality") == 1, FORWARD)),
+        "forward": indices(Sel.forward_terms(counts, labels, "doc_id", F.col("quality") == 1, TOP)),
         "importance": sorted(range(len(terms)), key=lambda i: -importance[i])[:TOP],
     }
     classifiers = {"naive_bayes": M.naive_bayes(), "logistic": M.logistic(regParam=0.01), "tree": M.tree(), "linear_svm": M.linear_svm(train.count())}

@@ -259,3 +259,30 @@ def test_registered_searches_are_whole(points, spark, folder, monkeypatch):
     swept = [(r["model"], r["value"]) for r in scores(spark, folder, "depth_sweep")]
     assert sorted(v for m, v in swept if m == "tree") == list(range(1, 31))
     assert sorted(v for m, v in swept if m == "forest") == [1, 2, 5, 10, 20, 50, 100]
+
+
+def test_forward_terms_of_the_effect_table_are_whole(spark, folder, monkeypatch):
+    """As many terms of the forward selection as of every other selector, each the best of its step by brute force."""
+    from lumenframe.plans import models as plans
+
+    rng = np.random.default_rng(8)
+    x, y = rng.poisson(0.7, size=(90, 40)), rng.integers(0, 2, 90)
+    terms = [f"t{j:02d}" for j in range(40)]
+    counts = spark.createDataFrame([(i, terms[j], int(x[i, j])) for i in range(90) for j in range(40) if x[i, j]], "doc_id int, term string, cnt int")
+    labels = spark.createDataFrame([(i, int(c)) for i, c in enumerate(y)], "doc_id int, quality int")
+    rows = labels.select("doc_id", F.col("quality").cast("double").alias("label"))
+    monkeypatch.setattr(plans, "term_parts", lambda *_: (terms, rows, rows, counts, labels))
+    monkeypatch.setattr(W, "importances", lambda *_: [0.0] * 40)
+    monkeypatch.setattr(W, "rfe_select", lambda *_, **__: [])
+    kept = {}
+    monkeypatch.setattr(W, "effect_of_selection", lambda a, b, selections, c: kept.update(selections) or [("s", "m", 0.0, 0.0, 0.0)])
+    scores(spark, folder, "select_then_score")
+    chosen, t = [], y * 2.0 - 1
+    for _ in range(30):
+        def r2(cols):
+            a = np.column_stack([np.ones(90), *[x[:, c] for c in cols]])
+            e = t - a @ np.linalg.lstsq(a, t, rcond=None)[0]
+            return 1 - e @ e / ((t - t.mean()) @ (t - t.mean()))
+
+        chosen.append(max((c for c in range(40) if c not in chosen), key=lambda c: round(r2([*chosen, c]), 9)))
+    assert kept["forward"] == chosen and len(kept["chi2"]) == 30
