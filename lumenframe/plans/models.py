@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
+import warnings
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +23,8 @@ from lumenframe.plans.registry import query
 from lumenframe.plans.text import EDGES, LABELS, TOK_SQL, TOP, VARIANCE_P, compounds, counted, train_part
 from lumenframe.sources.scratch import materialize
 
-ROUNDS = 5
+# rounds of the boosting and trees of the forest; the tolerance ends the text classifier well before this
+ROUNDS, FOREST, CLASSIFIER_ITERATIONS = 50, 100, 1000
 # trials of a search, and the values of a sweep
 TRIALS = 100
 # share of the terms that a fit of the recursive elimination drops; steps of the forward selection that the SQL states
@@ -57,7 +58,7 @@ def tree_fit(spark, sf):
 @query("forest_fit")
 def forest_fit(spark, sf):
     train, test = shape_parts(spark, sf)
-    predictions = {s: M.forest(10, 5, s).fit(train).transform(test) for s in ("all", "sqrt", "log2")}
+    predictions = {s: M.forest(FOREST, 5, s).fit(train).transform(test) for s in ("all", "sqrt", "log2")}
     return round_doubles(M.score_models(predictions))
 
 
@@ -199,14 +200,16 @@ def select_then_score(spark, sf):
 
 @query("text_classifier")
 def text_classifier(spark, sf):
-    """Sentiment class from hashed term weights by a multinomial linear model; report on the holdout."""
+    """Sentiment class from weights of all train terms by a multinomial linear model; report on the holdout."""
     label = scalars.category_code(scalars.cut_right(F.col("compound"), EDGES, LABELS), LABELS)
     classes = compounds(spark, sf).select("doc_id", label.cast("double").alias("label")).filter("label >= 0")
-    docs = texts(spark, sf).select("doc_id", words(F.col("text")).alias("words"))
-    counts = HashingTF(inputCol="words", outputCol="tf", numFeatures=2**14).transform(docs.join(classes, "doc_id"))
-    rows = holdout_hashed(materialize(counts.select("doc_id", "label", "tf"), "hashed"), "doc_id", 70)
+    docs = holdout_hashed(materialize(texts(spark, sf).join(classes, "doc_id"), "classed"), "doc_id", 70)
+    terms = M.vocabulary_list(docs.filter("part = 'train'").select(F.explode(words(F.col("text"))).alias("term")), "term")
+    rows = M.term_vectors(docs, "text", terms, ["doc_id", "label", "part"], 1).withColumnRenamed("features", "tf")
     train, test = rows.filter("part = 'train'"), rows.filter("part = 'test'")
-    idf = IDF(inputCol="tf", outputCol="features", minDocFreq=2).fit(train)
-    model = LogisticRegression(family="multinomial", maxIter=20, regParam=0.01).fit(idf.transform(train))
+    idf = IDF(inputCol="tf", outputCol="features").fit(train)
+    model = M.logistic(family="multinomial", maxIter=CLASSIFIER_ITERATIONS, regParam=0.01).fit(idf.transform(train))
+    if model.summary.totalIterations >= CLASSIFIER_ITERATIONS:
+        warnings.warn(f"classifier stopped after {CLASSIFIER_ITERATIONS} iterations", RuntimeWarning, stacklevel=2)
     scored = model.transform(idf.transform(test)).select(F.col("label").cast("int").alias("t"), F.col("prediction").cast("int").alias("p"))
     return round_doubles(classification_report(scored, "t", "p"))

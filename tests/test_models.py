@@ -286,3 +286,26 @@ def test_forward_terms_of_the_effect_table_are_whole(spark, folder, monkeypatch)
 
         chosen.append(max((c for c in range(40) if c not in chosen), key=lambda c: round(r2([*chosen, c]), 9)))
     assert kept["forward"] == chosen and len(kept["chi2"]) == 30
+
+
+def test_classifiers_keep_their_size(points, spark, folder, monkeypatch):
+    """Every train term of the text classifier has a weight of its own, and forest and boosting have the reference's sizes."""
+    from lumenframe.plans import models as plans
+
+    spoken = [(i, " ".join(f"w{(i * 7 + j) % 200}x{i}" for j in range(500)) + f" a {'good' if i % 2 else 'bad'}") for i in range(50)]
+    docs = spark.createDataFrame(spoken, "doc_id int, text string")
+    monkeypatch.setattr(plans, "texts", lambda *_: docs)
+    monkeypatch.setattr(plans, "compounds", lambda *_: docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, -0.9).otherwise(0.9).alias("compound")))
+    fitted, made, real = [], [], plans.IDF.fit
+    monkeypatch.setattr(plans.IDF, "fit", lambda self, df: fitted.append((df.count(), real(self, df))) or fitted[-1][1])
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        assert scores(spark, folder, "text_classifier")
+    n, idf = fitted[0]
+    assert idf.idf.size == n * 200 + 3 and sum(v > 0 for v in idf.idf.toArray()) == n * 200 + 2
+    rows = Mo.assemble(points, ["a", "b", "c"], "y", ["id"])
+    monkeypatch.setattr(plans, "shape_parts", lambda *_: (rows, rows))
+    monkeypatch.setattr(Mo, "forest", lambda trees, *a, real=Mo.forest: made.append(trees) or real(2, *a))
+    monkeypatch.setattr(Mo, "samme_fit", lambda train, rounds, real=Mo.samme_fit: made.append(rounds) or real(train, 2))
+    assert len(scores(spark, folder, "forest_fit")) == 3 and len(scores(spark, folder, "samme_fit")) == 1
+    assert made == [100, 100, 100, 50]
