@@ -255,3 +255,21 @@ def test_conversations(spark, partitions):
     for got in partitions(lambda: chat.read_back(segments).collect(), (1, 6)):
         assert {r.conv_id: tuple(r)[1:] for r in got} == want
     assert chat.read_back(chat.format_turns(df.limit(0))).count() == 0
+
+
+def test_mirrored_pages_and_nested_articles_keep_their_text(spark, partitions):
+    assert html.article_blocks("<main><h1>head</h1><p>long text</p><article>teaser</article></main><p>out")[0] == ["head", "long text", "teaser"]
+    rng = random.Random(7)
+    text = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    article, notice, rows = text(300), " ".join(text(12)), []
+    for i in range(12):
+        words = list(article)
+        if i >= 4:  # four equal copies, eight with a word of their own
+            words[rng.randrange(300)] = f"x{i}"
+        rows.append((i, f"http://a.org/{i}", f"<p>{notice}</p><p>{' '.join(words)}</p>", " ".join(words)))
+    for i in range(12, 16):
+        own = " ".join(text(60))
+        rows.append((i, f"http://a.org/{i}", f"<p>{notice}</p><p>{own}</p>", own))
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    for got in partitions(lambda: html.extract(df).collect(), (1, 5)):
+        assert {r.page_id: r.text for r in got} == {r[0]: r[3] for r in rows}
