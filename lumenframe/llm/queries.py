@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, chat, forest, html, jaccard, language, mixing, quality, shards, spans
+from lumenframe.llm import bpe, chat, counts, forest, html, jaccard, language, mixing, phrases, quality, resample, shards, spans
 from lumenframe.llm.registry import ORACLES, QUERIES, query, read
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op1_bpe_round_trip")
@@ -82,6 +82,24 @@ def format_conversations(spark, folder):
     return chat.read_back(chat.format_turns(talks.unionByName(more)))
 
 
+@query("op11_token_counts")
+def token_counts(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return counts.digest(counts.add_counts(docs, tokenizer_path("byte_bpe_50k.json")))
+
+
+@query("op12_phrase_collocations", phrases.SQL)
+def phrase_collocations(spark, folder):
+    return phrases.collocations(read(spark, folder, "documents").select("lang", "text"))
+
+
+@query("op13_resample_to_target")
+def resample_to_target(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    made = resample.resample(docs, read(spark, folder, "benchmark").select("text"))
+    return made.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def all_queries():
     return dict(QUERIES)
 
