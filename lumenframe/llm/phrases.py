@@ -15,12 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.llm.common import mix, tidy
-from lumenframe.sources.scratch import fresh_path, materialize
+from lumenframe.sources.scratch import fresh_path, materialize, release
 
 #: The longest phrase, the threshold, the score's scale and the share that a longer phrase must reach, in percent.
 LONGEST = 4
@@ -30,122 +29,210 @@ COVERED = 80
 #: Shards of a cycle.
 SHARDS = 4
 #: Bytes of one language that a worker counts at a time.
-BLOCK = 8 << 20
+BLOCK = 12 << 20
 #: Counters of each length: one for this many bytes of text, between the two bounds (as powers of two).
-BYTES_A_COUNTER, FEWEST, MOST = 64, 16, 24
+BYTES_A_COUNTER, FEWEST, MOST = 16, 16, 24
 NEVER = 255
 ROWS = 1 << 16
-
 # A to Z become a to z, tabs spaces, and all that ends a piece a line end
 FOLDED = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-COUNTED = "lang string, size int, slot int, phrase string, n long"
-
-
-def word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+#: Counters of a length are summed in this many ranges (as a power of two).
+RANGE_BITS = 6
+PENDING = 1 << 22
+#: Counters whose flags stand in one row when full ones are looked up.
+FLAGS = 1 << 16
+COUNTED = "lang string, size int, slot int, phrase string, n long, range int, slots binary, sums binary"
+PHRASE, SLOTS = ["lang", "size", "slot", "phrase", "n"], ["size", "range", "slots", "sums"]
+
+
+def word_lanes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds: tuple[int, int]) -> list[np.ndarray]:
+    """Two independent 64-bit hashes of each word, from eight bytes at a time; ``raw`` goes on for eight bytes after the last word."""
+    eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    size = ends - starts
+    lanes = [mix(size.astype(np.uint64) ^ np.uint64(seed)) for seed in seeds]
+    alive = np.arange(len(starts))
+    at = starts
+    while len(alive):
+        left = ends[alive] - at
+        chunk = eight[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * np.maximum(8 - left, 0)).astype(np.uint64))
+        for lane, odd in zip(lanes, (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), strict=True):
+            with np.errstate(over="ignore"):
+                lane[alive] = mix(lane[alive] ^ chunk) * np.uint64(odd)
+        more = left > 8
+        alive, at = alive[more], at[more] + 8
+    return lanes
 
 
 class Block:
-    """The words of many texts of one language in a row; 0 stands for the end of a piece."""
+    """The words of many texts of one language in a row, each with its place in the bytes, its piece and its hashes."""
 
     def __init__(self, lang: str, texts: list[bytes]):
-        words = b"\n".join(texts).translate(FOLDED).replace(b"\n", b" \n ").split(b" ")
-        numbers = {b"\n": 0} | {w: i for i, w in enumerate(set(words) - {b"\n", b""}, 1)}
-        numbers[b""] = -1
-        ids = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
-        del words, numbers[b""]
-        self.ids = ids[ids >= 0]
-        self.names = pa.array(list(numbers), pa.binary()).cast(pa.string())
-        seed = word_hash(lang.encode())
-        self.hashes = mix(np.array([word_hash(w) ^ seed for w in numbers], np.uint64))[self.ids]
-        self.lang = lang
+        raw = np.frombuffer(b"\n".join(texts).translate(FOLDED) + b"\n" * 8, np.uint8)
+        blank = raw == 32
+        raw = raw[~(blank & np.append(False, blank[:-1]))]  # one space between words, so that a phrase is a stretch of bytes
+        outside = (raw == 32) | (raw == 10)
+        edges = np.flatnonzero(np.diff(outside, prepend=True))
+        self.starts, self.ends = edges[::2], edges[1::2]
+        self.pieces = np.cumsum(raw == 10, dtype=np.int32)[self.starts]
+        seed = int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
+        self.hashes, self.checks = word_lanes(raw, self.starts, self.ends, (seed, seed ^ 0x5851F42D4C957F2D))
+        self.raw, self.lang = raw, lang
 
     def phrase_hashes(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(size, hash of the phrase from each place, whether there is one) for 1, 2, ... words."""
-        made, whole = self.hashes, self.ids > 0
+        made = self.hashes
         for size in range(1, LONGEST + 1):
             if size > 1:
                 with np.errstate(over="ignore"):
                     made = mix(made[:-1] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[size - 1 :])
-                whole = whole[:-1] & (self.ids[size - 1 :] > 0)
-            yield size, made, whole
+            yield size, made, self.pieces[: len(made)] == self.pieces[size - 1 :]
 
-    def counted(self, size: int, hashes: np.ndarray, slots: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """A row for each phrase of ``size`` words that begins at one of the places, in batches."""
+    def grouped(self, size: int, hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first place, count) of each phrase of ``size`` words that begins at one of the places; 128 bits a word tell phrases apart."""
         order = places[np.argsort(hashes[places])]
-        columns = [self.ids[order + k] for k in range(size)]
         new = np.ones(len(order), bool)
-        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        for k in range(size):
+            checks = self.checks[order + k]
+            new[1:] = (checks[1:] != checks[:-1]) | (new[1:] if k else hashes[order[1:]] != hashes[order[:-1]])
         first = np.flatnonzero(new)
-        n = np.diff(np.append(first, len(order)))
+        return order[first], np.diff(np.append(first, len(order)))
+
+    def rows(self, size: int, slots: np.ndarray, first: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The phrases that begin at ``first``, their counters and counts, in batches."""
         for a in range(0, len(first), ROWS):
             at = first[a : a + ROWS]
-            parts = [self.names.take(pa.array(c[at])) for c in columns]
-            phrases = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
-            rows = [
-                pa.array([self.lang] * len(at)), pa.array(np.full(len(at), size, np.int32)), pa.array(slots[order[at]].astype(np.int32)),
-                phrases, pa.array(n[a : a + ROWS].astype(np.int64)),
-            ]
-            yield pa.RecordBatch.from_arrays(rows, names=["lang", "size", "slot", "phrase", "n"])
-
-
-def active_counts(block: Block, step: int, shards: int, reached: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Counts of the block's phrases that are in their cycle at ``step``; ``reached`` has the step from which each counter's phrases may be part of longer ones."""
-    bits = np.uint64(64 - int(len(reached[0])).bit_length() + 1)
+            begin, end = self.starts[at], self.ends[at + size - 1]
+            offsets = np.append(0, np.cumsum(end - begin))
+            letters = self.raw[np.repeat(begin - offsets[:-1], end - begin) + np.arange(offsets[-1])]
+            phrases = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(letters))
+            columns = [pa.repeat(self.lang, len(at)), pa.repeat(pa.scalar(size, pa.int32()), len(at)), pa.array(slots[a : a + ROWS])]
+            columns += [phrases, pa.array(n[a : a + ROWS], pa.int64())]
+            yield _batch(dict(zip(PHRASE, columns, strict=True)), len(at))
+
+
+def _batch(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+    """A batch of the scan's rows; the columns that are not given are null."""
+    kinds = {"lang": pa.string(), "size": pa.int32(), "slot": pa.int32(), "phrase": pa.string(), "n": pa.int64(), "range": pa.int32(), "slots": pa.binary(), "sums": pa.binary()}
+    return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, t) for c, t in kinds.items()], names=list(kinds))
+
+
+class Rises:
+    """By how much a task raises the counters of each length: at most to the threshold, sent by ranges of counters."""
+
+    def __init__(self, counters: int):
+        self.shift = max(counters.bit_length() - 1 - RANGE_BITS, 0)
+        self.held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.size = 0
+
+    def add(self, size: int, slots: np.ndarray, n: np.ndarray) -> None:
+        self.held.setdefault(size, []).append((slots, np.minimum(n, THRESHOLD)))
+        self.size += len(slots)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for size, parts in self.held.items():
+            slots, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(slots, kind="stable")
+            slots, n = slots[order], n[order]
+            first = np.flatnonzero(np.diff(slots, prepend=-1))
+            if len(first):
+                slots, n = slots[first], np.minimum(np.add.reduceat(n, first), THRESHOLD).astype(np.uint8)
+            cuts = np.flatnonzero(np.diff(slots >> self.shift, prepend=-1))
+            parts = [(int(slots[a] >> self.shift), slots[a:b], n[a:b]) for a, b in zip(cuts, [*cuts[1:], len(slots)], strict=True)]
+            columns = [pa.array([size] * len(parts), pa.int32()), pa.array([r for r, _, _ in parts], pa.int32())]
+            columns += [pa.array([p[i].tobytes() for p in parts], pa.binary()) for i in (1, 2)]
+            yield _batch(dict(zip(SLOTS, columns, strict=True)), len(parts))
+        self.held, self.size = {}, 0
+
+
+def active_counts(block: Block, step: int, shards: int, reached: list[np.ndarray], rises: Rises) -> Iterator[pa.RecordBatch]:
+    """Counts of the block's phrases that are in their cycle at ``step``.
+
+    ``reached`` has for each counter the step from which its phrases may be part of longer ones.
+    """
+    bits = np.uint64(64 - len(reached[0]).bit_length() + 1)
     starts = None
     for size, hashes, whole in block.phrase_hashes():
-        slots = (hashes >> bits).astype(np.int64)
-        since = np.zeros(len(slots), np.uint8) if starts is None else np.maximum(starts[:-1], starts[1:])
-        places = np.flatnonzero(whole & (since <= step) & (step < since.astype(np.int32) + shards) & (since < NEVER))
-        yield from block.counted(size, hashes, slots, places)
+        if starts is None:
+            active = whole if step < shards else np.zeros(len(whole), bool)
+        else:
+            since = np.maximum(starts[:-1], starts[1:])
+            active = whole & (since <= step) & (since > step - shards)
+        first, n = block.grouped(size, hashes, np.flatnonzero(active))
+        slots = (hashes[first] >> bits).astype(np.int32)
+        yield from block.rows(size, slots, first, n)
+        if len(first):
+            rises.add(size, slots, n)
         if size < LONGEST:
-            starts = reached[size - 1][slots]
+            starts = reached[size - 1][hashes >> bits]
 
 
 def scan(shard: DataFrame, step: int, shards: int, tables) -> DataFrame:
-    """Partial counts of one shard's active phrases; ``tables`` is a broadcast of the counters' steps."""
+    """Partial counts of one shard's active phrases and the rises of their counters; ``tables`` is a broadcast of the counters' steps."""
 
     def run(batches):
         waiting: dict[str, list[bytes]] = {}
-        held = 0
+        held, rises = 0, Rises(len(tables.value[0]))
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 waiting.setdefault(lang, []).append(text.as_buffer().to_pybytes())
                 held += len(waiting[lang][-1])
                 if held >= BLOCK:
-                    yield from flush(waiting)
+                    yield from flush(waiting, rises)
                     waiting, held = {}, 0
-        yield from flush(waiting)
+        yield from flush(waiting, rises)
+        yield from rises.rows()
 
-    def flush(waiting):
+    def flush(waiting, rises):
         while waiting:
             lang, texts = waiting.popitem()
-            yield from active_counts(Block(lang, texts), step, shards, tables.value)
+            yield from active_counts(Block(lang, texts), step, shards, tables.value, rises)
+            if rises.size > PENDING:
+                yield from rises.rows()
 
     return shard.select("lang", "text").mapInArrow(run, COUNTED)
 
 
-def slot_sums(counted: DataFrame) -> DataFrame:
-    """Per size the counters that rose and by how much, at most to the threshold, packed."""
+def slot_sums(rises: DataFrame, counters: int) -> DataFrame:
+    """Per size and range the counters that rose and by how much, at most to the threshold, packed.
+
+    A range's rows stream through one task, which holds one number for each of its counters.
+    """
+    width = max(counters >> RANGE_BITS, 1)
 
     def run(batches):
+        totals: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            size, slot, n = (batch.column(i).to_numpy() for i in range(3))
-            for s in np.unique(size):
-                own = size == s
-                packed = [slot[own].astype("<i4").tobytes(), n[own].astype(np.uint8).tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([int(s)], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], names=["size", "slots", "n"])
+            for size, part, slots, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = totals.setdefault((size, part), np.zeros(width, np.int32))
+                at = np.frombuffer(slots, "<i4") - part * width
+                own[at] = np.minimum(own[at] + np.frombuffer(n, np.uint8), THRESHOLD)
+        for (size, part), own in totals.items():
+            at = np.flatnonzero(own)
+            packed = [(at + part * width).astype("<i4").tobytes(), own[at].astype(np.uint8).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([size], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], names=["size", "slots", "n"])
+
+    return rises.select(*SLOTS).repartition("size", "range").mapInArrow(run, "size int, slots binary, n binary")
+
 
-    sums = counted.groupBy("size", "slot").agg(F.least(F.sum("n"), F.lit(THRESHOLD)).alias("n"))
-    return sums.mapInArrow(run, "size int, slots binary, n binary")
+def in_full_counters(counted: DataFrame, sums: list[np.ndarray]) -> DataFrame:
+    """The partial counts of phrases whose counter reached the threshold; a phrase elsewhere cannot have.
+
+    The counters' flags are a table of at most 8 MB, 8 KB a row, which is broadcast.
+    """
+    flags = [np.packbits(s >= THRESHOLD, bitorder="little").tobytes() for s in sums]
+    step = FLAGS // 8
+    rows = [(size, at // step, bytearray(f[at : at + step])) for size, f in enumerate(flags, 1) for at in range(0, len(f), step)]
+    full = counted.sparkSession.createDataFrame(rows, "size int, part int, flags binary")
+    byte = f"CAST(conv(hex(substring(flags, ((slot & {FLAGS - 1}) DIV 8) + 1, 1)), 16, 10) AS BIGINT)"
+    placed = counted.withColumn("part", F.expr(f"CAST(slot DIV {FLAGS} AS INT)")).join(F.broadcast(full), ["size", "part"])
+    return placed.filter(F.expr(f"getbit({byte}, slot & 7) = 1")).select("lang", "size", "phrase", "n")
 
 
-def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", shards: int = SHARDS) -> DataFrame:
-    """(lang, size, phrase, n): every word, and exact counts of all phrases of two to four words that occur 30 times or more.
+def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
+    """(lang, n): all words of each language, and (lang, size, phrase, n): words and phrases that occur 30 times or more.
 
-    Further phrases may be among the rows with less than their whole count or a count below the threshold; filter by n.
     Words come from lower-cased pieces between ``.,;:!?`` and line ends. A null lang is ``und``; a null text has no words. Only the
-    counters, at most 2^24 bytes for each length, pass through the driver. The rows' working tables stay until ``scratch.clear``.
+    counters, at most 2^24 bytes for each length, pass through the driver.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -153,7 +240,7 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", shard
         F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"),
     )
     dealt = fresh_path(spark, "shards")
-    rows.filter("text IS NOT NULL").write.partitionBy("shard").parquet(dealt)
+    rows.filter("text IS NOT NULL").write.option("compression", "zstd").partitionBy("shard").parquet(dealt)
     table = spark.read.schema("lang string, text string, size int, shard int").parquet(dealt)
     total = table.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
     counters = 1 << min(max((total // BYTES_A_COUNTER).bit_length(), FEWEST), MOST)
@@ -163,19 +250,23 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", shard
     while step < last + shards:
         tables = spark.sparkContext.broadcast(reached)
         folder = f"{counts}/step={step}"
-        scan(table.filter(F.col("shard") == step % shards), step, shards, tables).write.parquet(folder)
+        scan(table.filter(F.col("shard") == step % shards), step, shards, tables).write.option("compression", "zstd").parquet(folder)
         counted = spark.read.schema(COUNTED).parquet(folder)
-        for size, slots, n in slot_sums(counted.filter(F.col("size") < LONGEST)).collect():
+        for size, slots, n in slot_sums(counted.filter("range IS NOT NULL"), counters).collect():
             at = np.frombuffer(slots, "<i4")
             sums[size - 1][at] = np.minimum(sums[size - 1][at] + np.frombuffer(n, np.uint8), THRESHOLD)
         tables.destroy()
+        tidy(spark)  # shuffle files of this step
         step += 1
         for table_sums, since in zip(sums, reached, strict=False):
             new = (table_sums >= THRESHOLD) & (since == NEVER)
             if new.any():
                 since[new], last = step, step
-    tidy(spark)
-    return spark.read.schema(COUNTED).parquet(counts).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    release(table)
+    counted = spark.read.schema(COUNTED).parquet(counts).filter("range IS NULL").select(*PHRASE)
+    words = materialize(counted.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n")), "words")
+    summed = in_full_counters(counted, sums).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    return words, materialize(summed.filter(F.col("n") >= THRESHOLD), "frequent-phrases")
 
 
 def _joined(words, start, size):
@@ -212,10 +303,7 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", top: i
     (a null one is ``und``). A phrase inside a longer one that occurs at least 80 times for each 100 of its own is left out. Null and
     empty texts have no words, and languages without a frequent phrase no rows. Other columns are not read.
     """
-    counted = count_phrases(docs, lang, text, shards)
-    words = counted.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    words = materialize(words, "words")
-    frequent = materialize(counted.filter(F.col("n") >= THRESHOLD), "frequent-phrases")
+    words, frequent = count_phrases(docs, lang, text, shards)
     scored = cut_scores(frequent).join(covered_by(frequent), ["lang", "phrase"], "left")
     covered = F.expr(f"CAST(longer AS DECIMAL(19,0)) * 100 >= CAST(a AS DECIMAL(19,0)) * {COVERED}")
     free = scored.filter(~F.coalesce(covered, F.lit(False)))

@@ -115,7 +115,7 @@ def talk(seed, n):
     return [(rnd.choice(["en", "en", None, "und", "de"]), " ".join(rnd.choice(stock) for _ in range(rnd.randint(0, 40)))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("shards", [1, 3, 4])
+@pytest.mark.parametrize("shards", [1, 3])
 def test_collocations_equal_plain_counts(spark, shards):
     rows = [*talk(3, 250), ("en", None), (None, None), ("en", ""), ("fr", "un deux. " * 40), ("en", "long ago " * 20000), ("es", "once upon a time")]
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "lang string, text string, shard int, phrase string").repartition(7)
@@ -137,7 +137,7 @@ def test_phrases_reached_late_meet_every_shard_once(spark):
     """A chain that becomes frequent only with the last shard of each cycle."""
     rows = [("en", "one two three four")] * 30
     df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
-    got = {r.phrase: r.n for r in phrases.count_phrases(df).collect()}
+    got = {r.phrase: r.n for r in phrases.count_phrases(df)[1].collect()}
     assert got["one two three four"] == 30 and got["two three"] == 30
 
 
