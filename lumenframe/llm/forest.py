@@ -2,7 +2,8 @@
 
 Each tree writes every vector as a long string of hash symbols; sorted by these strings, vectors with a common prefix stand
 together. A symbol is the axis, with its sign, that a random rotation of the vector lies nearest to. A query descends to its longest prefix and
-then ascends in all trees at once, one symbol a step, until the stretches that share its prefix hold enough candidates. How many are enough is
+then ascends in all trees at once, one symbol a step, until the stretches that share its prefix hold enough candidates, and on until K
+different rows have been met. How many are enough is
 measured: a bounded sample of queries is searched exactly, and the least number is taken at which the forest finds RECALL of their
 neighbours. Above the first symbol all vectors share the empty prefix, so that a search that needs them all is exact.
 
@@ -204,19 +205,18 @@ def neighbours(
     depth = F.lit(0)
     for d in range(1, symbols + 1):
         depth = F.when(F.col("reach")[d] >= enough[d], F.lit(d)).otherwise(depth)
-    chosen = reach.select("g", depth.alias("depth"))
-    stretch = where.join(chosen, ["g", "depth"]).filter("n > 0").withColumn("key", _key())
-    wanted = stretch.groupBy("key", "depth", "tree", "prefix").agg(F.first("n").alias("n"))
-    blocks = F.expr(f"CAST((n + {BLOCK} - 1) DIV {BLOCK} AS INT)")
-    wanted = materialize(wanted.withColumn("blocks", blocks), "forest-wanted")
-    vectors = folded.select("g", "v")
-    depths = [r.depth for r in wanted.select("depth").distinct().collect()]
-    ask = stretch.select("g", "key").join(wanted.select("key", "blocks"), "key")
-    ask = ask.select("g", "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(vectors, "g")
-    own = places(points_at, symbols, depths).join(wanted.select("depth", "tree", "prefix", "key", "blocks"), ["depth", "tree", "prefix"])
-    own = own.withColumn("block", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int"))
-    own = own.select("g", "key", "block").join(vectors, "g")
-    found = materialize(search_blocks(own, ask, size, k + 1), "forest-found")
+    chosen = materialize(reach.select("g", depth.alias("depth")), "forest-chosen")
+    weight = members.groupBy("g").agg(F.count(F.lit(1)).alias("w"))
+    vectors, found = folded.select("g", "v"), None
+    while True:
+        met = materialize(searched(where, points_at, vectors, chosen, size, k, symbols), "forest-found")
+        found = met if found is None else found.unionByName(met)
+        # a vector may stand in the stretches of many trees: queries that met fewer than k different rows ascend a symbol further
+        rows_met = met.select("q", "g").distinct().join(weight, "g").groupBy(F.col("q").alias("g")).agg(F.sum("w").alias("w"))
+        short = chosen.join(rows_met, "g", "left").filter((F.coalesce("w", F.lit(0)) <= k) & (F.col("depth") > 0))
+        chosen = materialize(short.select("g", (F.col("depth") - 1).alias("depth")), "forest-short")
+        if chosen.isEmpty():
+            break
     tidy(spark)
 
     near = Window.partitionBy("g").orderBy("vec_id")
@@ -231,6 +231,20 @@ def neighbours(
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def searched(where: DataFrame, points_at: DataFrame, vectors: DataFrame, chosen: DataFrame, size: int, k: int, symbols: int) -> DataFrame:
+    """(q, g, score): the best points in the stretches of each query in ``chosen`` (g, depth), in all trees."""
+    stretch = where.join(chosen, ["g", "depth"]).filter("n > 0").withColumn("key", _key())
+    wanted = stretch.groupBy("key", "depth", "tree", "prefix").agg(F.first("n").alias("n"))
+    blocks = F.expr(f"CAST((n + {BLOCK} - 1) DIV {BLOCK} AS INT)")
+    wanted = materialize(wanted.withColumn("blocks", blocks), "forest-wanted")
+    depths = [r.depth for r in wanted.select("depth").distinct().collect()]
+    ask = stretch.select("g", "key").join(wanted.select("key", "blocks"), "key")
+    ask = ask.select("g", "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(vectors, "g")
+    own = places(points_at, symbols, depths).join(wanted.select("depth", "tree", "prefix", "key", "blocks"), ["depth", "tree", "prefix"])
+    own = own.withColumn("block", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int"))
+    return search_blocks(own.select("g", "key", "block").join(vectors, "g"), ask, size, k + 1)
+
+
 def _key():
     return F.xxhash64("depth", "tree", "prefix")
 
