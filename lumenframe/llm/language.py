@@ -22,9 +22,9 @@ from lumenframe.sources.scratch import materialize
 
 #: Bounds of the fit: landmarks in all, fitting rows of a language, and languages.
 LANDMARKS, FIT_ROWS, LANGUAGES = 256, 384, 128
-#: Letters with a code of their own; all others share one. 0 stands for what is no letter.
-CODES = 128
 ORDERS = 3
+#: Bits of a code point, so that an n-gram's number holds its letters whole, and what stands for all that is no letter.
+BITS, GAP = 21, 1
 RIDGE = 0.1
 UNKNOWN = "und"
 #: Cells of a presence matrix.
@@ -37,70 +37,51 @@ def _is_letter() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def code_table(letters: str) -> np.ndarray:
-    """Code of every code point: 0 for no letter, a number of its own for the given letters, the last for any other."""
-    table = np.where(_is_letter(), CODES - 1, 0).astype(np.int32)
-    for i, c in enumerate(letters[: CODES - 2]):
-        table[ord(c)] = i + 1
-    return table
-
-
-def codes(texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all texts in lower case, each between two zeros, and the text of each code."""
+def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts' letters in lower case, GAP for what is no letter and around each text, and the text of each."""
     lower = [f" {t.lower()} " if t else "  " for t in texts]
     points = np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), np.uint32)
-    return table[points], np.repeat(np.arange(len(lower)), [len(t) for t in lower])
+    return np.where(_is_letter()[points], points, GAP).astype(np.int64), np.repeat(np.arange(len(lower)), [len(t) for t in lower])
 
 
 def grams(code: np.ndarray, text: np.ndarray):
-    """(texts, n-gram numbers) for each order; n-grams of different orders have different numbers."""
-    at, first = code, np.zeros(0)
-    shift = 0
+    """(texts, n-gram numbers) for each order; the number of an n-gram is its code points one after another, so no two share one."""
+    at, blank = code, 0
     for n in range(1, ORDERS + 1):
         if n > 1:
-            at = at[:-1] * CODES + code[n - 1 :]
+            at = at[:-1] << BITS | code[n - 1 :]
+        blank = blank << BITS | GAP
         first = text[: len(at)]
-        inside = (first == text[n - 1 :]) & (at > 0)
-        yield first[inside], at[inside] + shift
-        shift += CODES**n
-
+        inside = (first == text[n - 1 :]) & (at != blank)
+        yield first[inside], at[inside]
 
-def gram_sets(texts: list[str | None], table: np.ndarray) -> list[np.ndarray]:
-    code, text = codes(texts, table)
-    rows, numbers = (np.concatenate(x) for x in zip(*grams(code, text), strict=True))
-    pairs = np.unique(rows.astype(np.int64) << 32 | numbers)
-    return [pairs[a:b] & 0xFFFFFFFF for a, b in _bounds(pairs >> 32, len(texts))]
 
-
-def _bounds(rows: np.ndarray, n: int):
-    at = np.searchsorted(rows, np.arange(n + 1))
-    return zip(at[:-1], at[1:], strict=True)
+def gram_set(text: str | None) -> np.ndarray:
+    return np.unique(np.concatenate([numbers for _, numbers in grams(*codes([text]))]))
 
 
 class Kernel:
     """Normalised kernels of texts with the landmarks."""
 
-    def __init__(self, letters: str, sets: list[np.ndarray]):
-        self.table = code_table(letters)
+    def __init__(self, sets: list[np.ndarray]):
         self.vocabulary = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.int64)
-        self.lookup = np.full(sum(CODES**n for n in range(1, ORDERS + 1)) + 1, -1, np.int32)
-        self.lookup[self.vocabulary] = np.arange(len(self.vocabulary))
         self.marks = np.zeros((len(sets), len(self.vocabulary)), np.float32)
         for i, s in enumerate(sets):
-            self.marks[i, self.lookup[s]] = 1 / np.sqrt(len(s)) if len(s) else 0
+            self.marks[i, np.searchsorted(self.vocabulary, s)] = 1 / np.sqrt(len(s)) if len(s) else 0
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Kernels (texts by landmarks), and which texts have a letter."""
         out, lettered = np.zeros((len(texts), len(self.marks)), np.float32), np.zeros(len(texts), bool)
         step = max(1, CELLS // max(1, len(self.vocabulary)))
         for a in range(0, len(texts), step):
-            code, text = codes(texts[a : a + step], self.table)
             some = texts[a : a + step]
-            lettered[a + np.unique(text[code > 0])] = True
+            code, text = codes(some)
+            lettered[a + np.unique(text[code > GAP])] = True
             present = np.zeros((len(some), len(self.vocabulary)), np.float32)
             for rows, numbers in grams(code, text):
-                found = self.lookup[numbers]
-                present[rows[found >= 0], found[found >= 0]] = 1
+                at = np.searchsorted(self.vocabulary[:-1], numbers)
+                known = self.vocabulary[at] == numbers
+                present[rows[known], at[known]] = 1
             size = np.sqrt(np.maximum(1, present.sum(axis=1, keepdims=True)))
             out[a : a + step] = (present @ self.marks.T) / size
         return out, lettered
@@ -131,24 +112,19 @@ def fit(train: DataFrame, lang: str = "lang", text: str = "text", doc_id: str =
     texts = materialize(texts.select(F.col(text).alias("text"), F.col(lang).alias("lang"), "n").repartition(8, "n"), "language-texts")
     marked = texts.filter(F.col("n") <= per_language)
 
-    letters = F.explode(F.array_distinct(F.split(F.lower("text"), "")))
-    common = marked.select(letters.alias("c")).groupBy("c").count().filter("c rlike '^\\\\p{L}$'")
-    letters = "".join(r.c for r in common.orderBy(F.desc("count"), "c").limit(CODES - 2).collect())
-
     def marks(batches):
-        table = code_table(letters)
         for pdf in batches:
             for language, t in zip(pdf["lang"], pdf["text"], strict=True):
-                yield pd.DataFrame({"lang": [language], "grams": [gram_sets([t], table)[0].astype("<i4").tobytes()]})
+                yield pd.DataFrame({"lang": [language], "grams": [gram_set(t).astype("<i8").tobytes()]})
 
     found = marked.mapInPandas(marks, "lang string, grams binary").distinct().collect()
-    sets = [np.frombuffer(r.grams, "<i4").astype(np.int64) for r in sorted(found, key=lambda r: (r.lang, bytes(r.grams))) if r.grams]
+    sets = [np.frombuffer(r.grams, "<i8") for r in sorted(found, key=lambda r: (r.lang, bytes(r.grams))) if r.grams]
     if not sets:
         return None
-    shared = train.sparkSession.sparkContext.broadcast((letters, sets))
+    shared = train.sparkSession.sparkContext.broadcast(sets)
 
     def sums(batches):
-        kernel = Kernel(*shared.value)
+        kernel = Kernel(shared.value)
         m, c = len(kernel.marks), len(languages)
         square, cross = np.zeros((m, m)), np.zeros((m, c))
         for pdf in batches:
@@ -159,19 +135,19 @@ def fit(train: DataFrame, lang: str = "lang", text: str = "text", doc_id: str =
         yield pd.DataFrame({"square": [square.tobytes()], "cross": [cross.tobytes()]})
 
     parts = texts.coalesce(8).mapInPandas(sums, "square binary, cross binary").collect()
-    kernel = Kernel(letters, sets)
+    kernel = Kernel(sets)
     m = len(sets)
     square = sum(np.frombuffer(p.square).reshape(m, m) for p in parts)
     cross = sum(np.frombuffer(p.cross).reshape(m, -1) for p in parts)
     values, vectors = np.linalg.eigh(kernel.marks.astype(np.float64) @ kernel.marks.T.astype(np.float64))
     root = (vectors / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
     weights = np.linalg.solve(root @ square @ root + RIDGE * np.eye(m), root @ cross)
-    return languages, (letters, sets), (root @ weights).astype(np.float64)
+    return languages, sets, (root @ weights).astype(np.float64)
 
 
 @functools.lru_cache(maxsize=1)
 def _kernel(key):
-    return Kernel(*key.value)
+    return Kernel(key.value)
 
 
 def predict(df: DataFrame, model, text: str = "text") -> DataFrame:

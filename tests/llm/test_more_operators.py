@@ -85,6 +85,22 @@ def test_neighbours_on_clusters(spark):
     assert np.mean([len(set(by[q]) & set(want[q])) / 10 for q in want]) >= 0.9
 
 
+def test_queries_of_a_small_cluster_ascend_to_k_rows(spark):
+    """A cluster of five far from all others: its members' stretches are small in every tree and hold the same few vectors."""
+    rng = np.random.default_rng(21)
+    centers = np.linalg.qr(rng.normal(size=(32, 32)))[0][:31]
+    sizes = [60] * 30 + [5]
+    v = np.concatenate([c + 0.002 * rng.normal(size=(n, 32)) for c, n in zip(centers, sizes, strict=True)]).astype(np.float32)
+    rows = list(enumerate(v.tolist()))
+    got = forest.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), lambda c: F.col(c) % 100 == 0).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert len(rows) == 1805 and set(found) == {q for q, _ in rows if q % 100 == 0}
+    assert all(len(x) == 20 for x in found.values())
+    assert {1801, 1802, 1803, 1804} <= found[1800]
+
+
 def test_neighbours_of_few_and_none(spark):
     kind = "vec_id long, embedding array<float>"
     assert forest.neighbours(spark.createDataFrame([], kind), lambda c: F.col(c) % 5 == 0).count() == 0
@@ -273,3 +289,20 @@ def test_mirrored_pages_and_nested_articles_keep_their_text(spark, partitions):
     df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
     for got in partitions(lambda: html.extract(df).collect(), (1, 5)):
         assert {r.page_id: r.text for r in got} == {r[0]: r[3] for r in rows}
+
+
+def test_languages_of_large_alphabets(spark):
+    """Scripts of thousands of letters, and two languages that share one of them, are told apart; n-grams of unlike letters differ."""
+    rng = np.random.default_rng(8)
+    stocks = {
+        "zh": [chr(0x4E00 + int(i)) for i in rng.choice(6000, 700, replace=False)], "ja": [chr(0x3041 + i) for i in range(80)],
+        "ko": [chr(0xAC00 + int(i)) for i in rng.choice(9000, 700, replace=False)], "el": [chr(0x3B1 + i) for i in range(24)],
+        "yue": [chr(0x4E00 + int(i)) for i in rng.choice(6000, 700, replace=False)],
+    }
+    rows = [(i, "".join(rng.choice(stocks[lang], 200)), lang) for i, lang in enumerate(list(stocks) * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df.filter("doc_id < 100"))
+    got = language.predict(df.filter("doc_id >= 100"), model).collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.95
+    numbers = language.gram_set("ab ba")
+    assert len(numbers) == len(set(numbers.tolist())) == 13
