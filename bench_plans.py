@@ -43,7 +43,7 @@ def main() -> None:
         return pairs.withColumn("rank", rank).filter("rank <= 16")
 
     def sweep_once():
-        near = N.nearest(train, test, K_MAX + 1, carry=["label"], **KEYS)
+        near = N.nearest_lists(train, test, K_MAX + 1, carry=["label"], **KEYS)
         return N.sweep_k(near, label="label", kernel="gaussian", k_max=K_MAX)
 
     def sweep_each():
