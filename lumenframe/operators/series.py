@@ -51,7 +51,7 @@ def resample_first(
     )
     every = found.select(*keys).distinct().withColumn("_bins", F.sequence(span["a"], span["b"], F.expr(f"interval {days} days")))
     every = every.select(*keys, F.explode("_bins").alias("bin_start"))
-    return every.join(found, [*keys, "bin_start"], "left")
+    return join_keys(every, found, [*keys, "bin_start"], "left")
 
 
 def lagged(y: Column, n: int, keys: Sequence[str], time: str, fill: float | None = None) -> Column:
@@ -158,9 +158,10 @@ def autocorrelation(df: DataFrame, keys: Sequence[str], time: str, y: str, max_l
 
 
 def combine_first(a: DataFrame, b: DataFrame, on: Sequence[str], y: str) -> DataFrame:
-    """Rows of both series; where both have a value the first wins."""
-    joined = a.select(*on, F.col(y).alias("_a")).join(b.select(*on, F.col(y).alias("_b")), list(on), "full")
-    return joined.select(*on, F.coalesce("_a", "_b").alias(y))
+    """Rows of both series, one for each place; where both have a value the first wins. A null key is a key like others."""
+    sides = [df.select(*on, F.col(y).alias("_v"), F.lit(i).alias("_side")) for i, df in enumerate((a, b))]
+    known = F.when(F.col("_v").isNotNull(), F.col("_side"))
+    return sides[0].unionByName(sides[1]).groupBy(*on).agg(F.min_by("_v", known).alias(y))
 
 
 def ar1_forecast(df: DataFrame, keys: Sequence[str], time: str, y: str, steps: int) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenframe.operators import series as S
+from lumenframe.operators.joins import join_keys
 
 # Response surface of the unit root test with a constant (one variable).
 TAU_MAX, TAU_MIN, TAU_STAR = 2.74, -18.83, -1.61
@@ -108,7 +109,7 @@ def stationarity(df: DataFrame, keys: Sequence[str], time: str, y: str, season:
     tested = _grouped(long, names).applyInPandas(test, schema)
     order = F.struct(F.coalesce(F.nanvl("p_value", F.lit(None).cast("double")), F.lit(2.0)), "transform")
     first = tested.groupBy(*keys).agg(F.min_by("transform", order).alias("_best"))
-    return tested.join(first, list(keys)).select(*names, "stat", "p_value", "lags", (F.col("transform") == F.col("_best")).alias("best"))
+    return join_keys(tested, first, keys).select(*names, "stat", "p_value", "lags", (F.col("transform") == F.col("_best")).alias("best"))
 
 
 def unit_root_lag0(df: DataFrame, keys: Sequence[str], time: str, y: str) -> DataFrame:
@@ -152,7 +153,7 @@ def in_sample(df: DataFrame, keys: Sequence[str], time: str, y: str, lags: Mappi
     rows = S.lag_matrix(df, keys, time, y, dict(lags))
     named = coef.select(*keys, *[F.col(t).alias(f"_c_{t}") for t in lags])
     pred = sum((F.col(t) * F.col(f"_c_{t}") for t in lags), F.lit(0.0))
-    return rows.join(named, list(keys)).select(*keys, time, pred.alias("pred"), (F.col(y) - pred).alias("resid"))
+    return join_keys(rows, named, keys).select(*keys, time, pred.alias("pred"), (F.col(y) - pred).alias("resid"))
 
 
 def _lagged(x: np.ndarray, lag: int) -> np.ndarray:
@@ -294,6 +295,6 @@ def order_search(
     chosen = fitted.filter("aic IS NOT NULL").groupBy(*keys).agg(
         F.min_by(F.struct(*names), F.struct("aic", *names)).alias("_b")
     )
-    return fitted.join(chosen, list(keys), "left").select(
+    return join_keys(fitted, chosen, keys, "left").select(
         *keys, *names, "aic", (F.struct(*names) == F.col("_b")).alias("best")
     )

@@ -58,15 +58,19 @@ def lemmatize(df: DataFrame, key: str, text: str, lemmas: DataFrame, out: str =
 
 
 def _looked_up(rows: DataFrame, pairs: DataFrame):
-    """(``rows`` (.., _t), a function from a word of _t to its value in ``pairs`` (word, value) or null)."""
+    """(``rows`` (.., _t), a function from a word of _t to its value in ``pairs`` (word, value) or null).
+
+    A word that is listed more than once has the least of its values, whatever the length of the list.
+    """
+    word, value = pairs.columns
+    pairs = pairs.filter(F.col(word).isNotNull()).groupBy(word).agg(F.min(value).alias(value))
     listed = pairs.limit(LITERAL_WORDS + 1).collect()
     if len(listed) <= LITERAL_WORDS:
-        flat = [F.lit(x) for r in {r[0]: r for r in reversed(listed) if r[0] is not None}.values() for x in r]
+        flat = [F.lit(x) for r in listed for x in r]
         if not flat:
             return rows, lambda w: F.lit(None).cast(pairs.schema[1].dataType)
         known = F.create_map(*flat)
         return rows, lambda w: F.try_element_at(known, w)
-    word, value = pairs.columns
     row = F.struct("*")
     keyed = rows.withColumn("_row", F.xxhash64(F.to_json(row)))
     own = keyed.select("_row", F.explode(F.array_distinct("_t")).alias(word)).distinct()

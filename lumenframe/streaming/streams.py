@@ -70,7 +70,13 @@ def score_linear(stream: DataFrame, coef: Mapping[str, float], keep: Sequence[st
 
 
 def flatten_pages(stream: DataFrame, payload: str, identity: Sequence[str], late: str) -> DataFrame:
-    """Comments of the incoming pages; a comment seen again within ``late`` is dropped."""
+    """Comments of the incoming pages; a comment seen again within ``late`` is dropped.
+
+    The state of a comment is 128 bits of its identity's hash and the time at which it is forgotten, whatever the comment's length.
+    A null in the identity is a value like others.
+    """
     rows = flatten_threads(stream, payload).withColumn("_time", F.to_timestamp("time"))
-    unique = rows.withWatermark("_time", late).dropDuplicatesWithinWatermark([*identity])
-    return unique.drop("_time")
+    whole = F.to_json(F.struct(*identity), {"ignoreNullFields": "false"})
+    rows = rows.withColumns({"_h1": F.xxhash64(whole), "_h2": F.xxhash64(F.lit(1), whole)})
+    unique = rows.withWatermark("_time", late).dropDuplicatesWithinWatermark(["_h1", "_h2"])
+    return unique.drop("_time", "_h1", "_h2")
