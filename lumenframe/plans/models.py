@@ -15,7 +15,7 @@ from lumenframe.operators import models as M
 from lumenframe.operators import selection as Sel
 from lumenframe.operators import tuning
 from lumenframe.operators import wrappers as W
-from lumenframe.operators.metrics import binary_f1, classification_report
+from lumenframe.operators.metrics import binary_f1, classification_report, holdout_scores
 from lumenframe.operators.splits import holdout_hashed
 from lumenframe.plans.features import SHAPE, doc_shape_scaled, texts
 from lumenframe.plans.prep import round_doubles
@@ -28,8 +28,8 @@ ROUNDS, FOREST, CLASSIFIER_ITERATIONS = 50, 100, 1000
 # trials of a search, and the values of a sweep
 TRIALS = 100
 # share of the terms that a fit of the recursive elimination drops; steps of the forward selection that the SQL states
-RFE_SHARE, FORWARD = 0.5, 5
-DEPTHS, TREES = range(1, 31), (1, 2, 5, 10, 20, 50, 100)
+RFE_SHARE, FORWARD = 0.5, 30
+DEPTHS = range(1, 31)
 
 
 def shape_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -71,14 +71,13 @@ def samme_fit(spark, sf):
 
 @query("depth_sweep")
 def depth_sweep(spark, sf):
+    """Every tree depth, and every forest size from 1 to FOREST by the prefixes of one forest."""
     train, test = shape_parts(spark, sf)
-    trials = [{"model": "tree", "value": d} for d in DEPTHS] + [{"model": "forest", "value": t} for t in TREES]
-
-    def build(p):
-        return M.tree(p["value"]) if p["model"] == "tree" else M.forest(p["value"])
-
-    rows = [(p["model"], p["value"], a, f) for p, a, f in tuning.run_trials(train, test, build, trials)]
-    return round_doubles(spark.createDataFrame(rows, "model string, value int, accuracy double, f1 double"))
+    results = tuning.run_trials(train, test, lambda p: M.tree(p["depth"]), [{"depth": d} for d in DEPTHS])
+    depths = spark.createDataFrame([("tree", p["depth"], a, f) for p, a, f in results], "model string, value int, accuracy double, f1 double")
+    sizes = M.forest_prefixes(M.forest(FOREST).fit(train), test, "doc_id")
+    scored = holdout_scores(sizes, "label", "prediction", ["size"])
+    return round_doubles(depths.unionByName(scored.select(F.lit("forest").alias("model"), F.col("size").alias("value"), "accuracy", "f1")))
 
 
 @query("holdout_search")
