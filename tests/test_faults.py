@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenframe.functions.scalars import progress
-from lumenframe.operators import linear, neighbors, profile, selection, splits, text, trees
+from lumenframe.operators import linear, models, neighbors, profile, selection, series, series_fit, splits, text, trees
 from lumenframe.operators.position import exact_quantiles, order_statistics, running_sums, with_position
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -91,22 +91,76 @@ def test_sweep_equals_single_votes(spark):
     rng = np.random.default_rng(3)
     rows = spark.createDataFrame([(i, rng.normal(size=3).tolist(), int(rng.integers(3))) for i in range(80)], "id int, v array<double>, label int")
     near = neighbors.nearest(rows, rows, 13, id_col="id", vec_col="v", carry=["label"])
+    lists = neighbors.nearest_lists(rows, rows, 13, id_col="id", vec_col="v", carry=["label"])
     for kernel in ("gaussian", "triangular", "epanechnikov", "uniform"):
-        swept = neighbors.sweep_k(near, label="label", kernel=kernel, k_max=12, lowest=F.lit(0)).collect()
+        swept = neighbors.sweep_k(lists, label="label", kernel=kernel, k_max=12, lowest=F.lit(0)).collect()
         for k in (1, 4, 12):
             one = {r.probe: r.pred for r in neighbors.vote(near, label="label", kernel=kernel, k=k, lowest=F.lit(0)).collect()}
             assert {r.probe: r.pred for r in swept if r.k == k} == one
 
 
-def test_approximate_join_recall(spark):
+def test_blocks_return_few_more_rows_than_wanted(spark):
+    """However many blocks a probe meets, the second pass returns less than 2 m rows for it."""
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(3000, 8))
+    v[:900] = v[0] + 0.01 * rng.normal(size=(900, 8))
+    train = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id int, v array<double>")
+    probe = train.filter("id % 30 = 0")
+    for m, block, pivots in ((40, 150, 4), (400, 400, None)):
+        options = {"id_col": "id", "vec_col": "v", "rows_per_block": block, "pivots": pivots}
+        lists, several = neighbors.block_lists(train, probe, m, **options)
+        sent = lists.groupBy("probe").agg(F.sum(F.size("dist")).alias("n")).agg(F.max("n"), F.min("n"), F.count("n")).first()
+        assert several and m <= sent[1] and sent[0] < 2 * m and sent[2] == 100
+        got = neighbors.nearest(train, probe, m, **options).groupBy("probe").agg(F.sort_array(F.collect_list(F.struct("rank", "nb"))).alias("x"))
+        d = np.linalg.norm(v[::30, None] - v[None], axis=2)
+        want = {30 * i: np.lexsort((np.arange(3000), np.round(row, 12)))[:m].tolist() for i, row in enumerate(d)}
+        assert {r.probe: [x.nb for x in r.x] for r in got.collect()} == want
+
+
+def clustered(n=1200, dims=32, centers=60):
+    """Vectors of small clusters of unlike sizes, some of them equal."""
     rng = np.random.default_rng(4)
-    v = rng.normal(size=(300, 16))
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id int, v array<double>")
-    got = {(r.probe, r.nb) for r in neighbors.approximate_join(rows, rows, 0.9, id_col="id", vec_col="v").collect()}
+    middle = rng.normal(size=(centers, dims))
+    v = middle[rng.integers(centers, size=n) * rng.integers(2, size=n)] + 0.08 * rng.normal(size=(n, dims))
+    v[::10] = v[5]
+    return v
+
+
+def test_approximate_join_recall_and_pairs_met(spark):
+    v = clustered()
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(-1, None)], "id int, v array<double>")
     d = np.linalg.norm(v[:, None] - v[None], axis=2)
-    want = {(int(i), int(j)) for i, j in zip(*np.nonzero(d < 0.9))}
-    assert got <= {(int(i), int(j)) for i, j in zip(*np.nonzero(d <= 0.9 + 1e-9))} and len(got & want) >= 0.9 * len(want)
+    radius = 0.9
+    settings = {"bits": 14, "tables": 12, "probes": 16}
+    got = {(r.probe, r.nb) for r in neighbors.approximate_join(rows, rows, radius, id_col="id", vec_col="v", **settings).collect()}
+    want = set(zip(*(x.tolist() for x in np.nonzero(d <= radius)), strict=True))
+    assert got <= set(zip(*(x.tolist() for x in np.nonzero(d <= radius + 1e-9)), strict=True))
+    assert len(got & want) >= 0.95 * len(want)
+    # a radius that leaves out 99 % of the pairs of two points from unlike clusters: few of them may be met
+    spread = np.random.default_rng(5).normal(size=(40, 32)).repeat(25, axis=0)
+    spread += 0.05 * np.random.default_rng(6).normal(size=spread.shape)
+    assert (np.linalg.norm(spread[:, None] - spread[None], axis=2) <= radius).mean() < 0.03
+    points = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(spread)], "_id int, _vec array<double>")
+    assert neighbors.candidate_pairs(points, points, **settings).count() < 0.1 * len(spread) ** 2
+
+
+def test_approximate_join_folds_copies(spark):
+    rows = spark.createDataFrame([(i, [1.0, 2.0, 3.0, float(i % 2)]) for i in range(400)], "id int, v array<double>")
+    assert neighbors.approximate_join(rows, rows, 0.5, id_col="id", vec_col="v").count() == 2 * 200**2
+    empty = rows.limit(0)
+    assert neighbors.approximate_join(empty, rows, 0.5, id_col="id", vec_col="v").count() == 0
+
+
+def test_approximate_join_on_embeddings(spark, folder):
+    """Recall of the registered query against all pairs."""
+    from lumenframe.plans import all_queries
+    from lumenframe.plans.neighbors import NEAR, split
+
+    train, test = (np.array([(r.vec_id, *r.embedding) for r in part.collect()], "float64") for part in split(spark, folder))
+    d = np.linalg.norm(test[:, None, 1:] - train[None, :, 1:], axis=2)
+    want = {(int(test[i, 0]), int(train[j, 0])) for i, j in zip(*np.nonzero(d <= NEAR))}
+    got = {(r.probe, r.nb) for r in all_queries()["knn_lsh"](spark, folder).collect()}
+    assert len(got & want) >= 0.95 * len(want)
 
 
 def test_long_word_lists_give_the_same(spark, monkeypatch):
@@ -173,3 +227,50 @@ def test_entry_runs_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 1" in done.stdout, done.stderr[-2000:]
+
+
+def test_null_series_are_series_like_others(spark):
+    rng = np.random.default_rng(12)
+    rows = [(k, i, float(rng.normal())) for k in ("a", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, t int, y double")
+    lags = {"l1": 1, "l2": 2}
+    fit = series_fit.lag_ridge(df, ["k"], "t", "y", lags, 0.1)
+    assert series_fit.in_sample(df, ["k"], "t", "y", lags, fit).filter("k IS NULL").count() == 60
+    tested = series_fit.stationarity(df, ["k"], "t", "y", 12).collect()
+    assert {r.k for r in tested} == {"a", None} and sum(r.best for r in tested) == 2
+    orders = series_fit.order_search(df, ["k"], "t", "y", [(1, 0, 0, 0), (2, 0, 0, 0)], 0, 0, 12).collect()
+    assert len(orders) == 4 and sum(bool(r.best) for r in orders) == 2
+
+
+def test_null_keys_in_resampled_and_combined_series(spark):
+    days = spark.createDataFrame([(k, f"2024-01-0{d}", d) for k in ("a", None) for d in (1, 2, 5)], "k string, d string, y int")
+    days = days.withColumn("d", F.to_date("d"))
+    got = series.resample_first(days, ["k"], "d", "y", "y", 2).filter("k IS NULL").orderBy("bin_start").collect()
+    assert [r["first"] for r in got] == [1, None, 5]
+    a = spark.createDataFrame([(None, 1, 1.0), (None, 2, None), ("x", 1, None)], "k string, t int, y double")
+    b = spark.createDataFrame([(None, 1, 9.0), (None, 2, 8.0), ("x", 1, None), ("x", 2, 7.0)], "k string, t int, y double")
+    got = series.combine_first(a, b, ["k", "t"], "y").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 1, 1.0), (None, 2, 8.0), ("x", 1, None), ("x", 2, 7.0)], key=str)
+
+
+def test_words_listed_twice_have_their_least_value(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "cats was good")], "id int, text string")
+    lemmas = spark.createDataFrame([("cats", "kitten"), ("cats", "cat"), ("was", "be"), (None, "x")], "form string, lemma string")
+    for limit in (2000, 0):
+        monkeypatch.setattr(text, "LITERAL_WORDS", limit)
+        assert [r.lemmas for r in text.lemmatize(docs, "id", "text", lemmas).collect()] == ["cat be good"]
+
+
+def test_prefixes_of_a_forest(spark):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(200, 3))
+    rows = [(i, *map(float, v), float(v[0] + v[1] > 0)) for i, v in enumerate(x)]
+    df = models.assemble(spark.createDataFrame(rows, "id int, a double, b double, c double, y double"), ["a", "b", "c"], "y", ["id"])
+    model = models.forest(6, 3).fit(df)
+    got = models.forest_prefixes(model, df, "id").collect()
+    assert len(got) == 200 * 6
+    whole = {r.id: r.prediction for r in model.transform(df).collect()}
+    first = {r.id: r.prediction for r in model.trees[0].transform(df).collect()}
+    last = {r.id: r.prediction for r in got if r["size"] == 6}
+    assert np.mean([last[i] == whole[i] for i in whole]) > 0.99
+    assert {r.id: r.prediction for r in got if r["size"] == 1} == first

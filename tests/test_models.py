@@ -205,7 +205,9 @@ def test_search_results(spark, folder):
     rows = scores(spark, folder, "holdout_search")
     assert sum(r["best"] for r in rows) == 1
     assert next(r for r in rows if r["best"])["f1"] == max(r["f1"] for r in rows)
-    assert all(set(json.loads(r["params"])) == {"depth", "min_leaf", "criterion"} for r in rows)
+    names = {"model", "depth", "trees", "min_leaf", "criterion", "penalty"}
+    assert len(rows) == 100 and all(set(json.loads(r["params"])) == names for r in rows)
+    assert {json.loads(r["params"])["model"] for r in rows} == {"tree", "forest", "logistic", "linear_svm"}
 
 
 def test_selected_terms(spark, folder):
@@ -216,7 +218,10 @@ def test_selected_terms(spark, folder):
 
 def test_effect_table(spark, folder):
     rows = scores(spark, folder, "select_then_score")
-    assert len(rows) == 15 and all(0 <= r["accuracy"] <= 100 and 0 <= r["f1"] <= 1 for r in rows)
+    selectors = ("none", "chi2", "mutual_info", "variance", "rfe", "forward", "importance")
+    classifiers = ("naive_bayes", "logistic", "tree", "linear_svm")
+    assert sorted((r["selector"], r["model"]) for r in rows) == sorted((s, c) for s in selectors for c in classifiers)
+    assert all(0 <= r["accuracy"] <= 100 and 0 <= r["f1"] <= 1 for r in rows)
 
 
 def test_caller_functions(points):
