@@ -116,19 +116,17 @@ def frequent_ids(df: DataFrame, text: str, size: int | None = None) -> DataFrame
 def encode_ids(df: DataFrame, key: str, text: str, ids: DataFrame, length: int = 128) -> DataFrame:
     """``key, block, ids, mask`` of fixed length: start, up to length - 2 word ids, end, padding.
 
-    A longer text goes on in further blocks; block 0 is the text cut to the length.
+    A longer text goes on in further blocks; block 0 is the text cut to the length. The different words of each text meet the
+    ids, and the text is coded where it lies, so that no token is shuffled.
     """
     room = length - 2
-    tokens = df.select(key, F.posexplode_outer(words(F.col(text))).alias("pos", "term"))
-    codes = materialize(ids.select("term", F.col("id").alias("_code")), "ids")
-    coded = tokens.join(codes, "term", "left").select(
-        key,
-        F.floor(F.coalesce("pos", F.lit(0)) / room).cast("int").alias("block"),
-        F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("_code", F.lit(UNKNOWN)).alias("id"))).alias("item"),
-    )
-    blocks = coded.groupBy(key, "block").agg(F.sort_array(F.collect_list("item")).alias("_i"))
-    real = F.concat(F.array(F.lit(START)), F.col("_i.id"), F.array(F.lit(END)))
-    blocks = blocks.select(key, "block", real.alias("_r"))
+    rows, code = _looked_up(df.select(key, words(F.col(text)).alias("_t")), ids.select("term", F.col("id").cast("long")))
+    codes = F.transform("_t", lambda w: F.coalesce(code(w), F.lit(UNKNOWN).cast("long")))
+    rows = rows.select(key, F.coalesce(codes, F.array().cast("array<bigint>")).alias("_c"))
+    last = F.greatest(F.ceil(F.size("_c") / room), F.lit(1)) - 1
+    rows = rows.select(key, "_c", F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("block"))
+    real = F.concat(F.array(F.lit(START)), F.slice("_c", F.col("block") * room + 1, F.lit(room)), F.array(F.lit(END)))
+    blocks = rows.select(key, "block", real.alias("_r"))
     pad = F.lit(length) - F.size("_r")
     mask = F.concat(F.array_repeat(F.lit(1), F.size("_r")), F.array_repeat(F.lit(0), pad))
     return blocks.select(key, "block", F.concat("_r", F.array_repeat(F.lit(PAD), pad)).alias("ids"), mask.alias("mask"))
