@@ -41,8 +41,9 @@ RANGE_BITS = 6
 PENDING = 1 << 22
 #: Counters whose flags stand in one row when full ones are looked up.
 FLAGS = 1 << 16
-COUNTED = "lang string, size int, slot int, phrase string, n long, range int, slots binary, sums binary"
-PHRASE, SLOTS = ["lang", "size", "slot", "phrase", "n"], ["size", "range", "slots", "sums"]
+COUNTED = "lang string, size int, slot int, phrase string, n long"
+#: Counts are written with packed differences of ascending counters.
+WRITTEN = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
 
 
 def word_lanes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds: tuple[int, int]) -> list[np.ndarray]:
@@ -107,13 +108,7 @@ class Block:
             phrases = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(letters))
             columns = [pa.repeat(self.lang, len(at)), pa.repeat(pa.scalar(size, pa.int32()), len(at)), pa.array(slots[a : a + ROWS])]
             columns += [phrases, pa.array(n[a : a + ROWS], pa.int64())]
-            yield _batch(dict(zip(PHRASE, columns, strict=True)), len(at))
-
-
-def _batch(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
-    """A batch of the scan's rows; the columns that are not given are null."""
-    kinds = {"lang": pa.string(), "size": pa.int32(), "slot": pa.int32(), "phrase": pa.string(), "n": pa.int64(), "range": pa.int32(), "slots": pa.binary(), "sums": pa.binary()}
-    return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, t) for c, t in kinds.items()], names=list(kinds))
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "slot", "phrase", "n"])
 
 
 class Rises:
@@ -140,11 +135,11 @@ class Rises:
             parts = [(int(slots[a] >> self.shift), slots[a:b], n[a:b]) for a, b in zip(cuts, [*cuts[1:], len(slots)], strict=True)]
             columns = [pa.array([size] * len(parts), pa.int32()), pa.array([r for r, _, _ in parts], pa.int32())]
             columns += [pa.array([p[i].tobytes() for p in parts], pa.binary()) for i in (1, 2)]
-            yield _batch(dict(zip(SLOTS, columns, strict=True)), len(parts))
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "range", "slots", "sums"])
         self.held, self.size = {}, 0
 
 
-def active_counts(block: Block, step: int, shards: int, reached: list[np.ndarray], rises: Rises) -> Iterator[pa.RecordBatch]:
+def active_counts(block: Block, step: int, shards: int, reached: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Counts of the block's phrases that are in their cycle at ``step``.
 
     ``reached`` has for each counter the step from which its phrases may be part of longer ones.
@@ -158,47 +153,53 @@ def active_counts(block: Block, step: int, shards: int, reached: list[np.ndarray
             since = np.maximum(starts[:-1], starts[1:])
             active = whole & (since <= step) & (since > step - shards)
         first, n = block.grouped(size, hashes, np.flatnonzero(active))
-        slots = (hashes[first] >> bits).astype(np.int32)
-        yield from block.rows(size, slots, first, n)
-        if len(first):
-            rises.add(size, slots, n)
+        yield from block.rows(size, (hashes[first] >> bits).astype(np.int32), first, n)
         if size < LONGEST:
             starts = reached[size - 1][hashes >> bits]
 
 
 def scan(shard: DataFrame, step: int, shards: int, tables) -> DataFrame:
-    """Partial counts of one shard's active phrases and the rises of their counters; ``tables`` is a broadcast of the counters' steps."""
+    """Partial counts of one shard's active phrases; ``tables`` is a broadcast of the counters' steps."""
 
     def run(batches):
         waiting: dict[str, list[bytes]] = {}
-        held, rises = 0, Rises(len(tables.value[0]))
+        held = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 waiting.setdefault(lang, []).append(text.as_buffer().to_pybytes())
                 held += len(waiting[lang][-1])
                 if held >= BLOCK:
-                    yield from flush(waiting, rises)
+                    yield from flush(waiting)
                     waiting, held = {}, 0
-        yield from flush(waiting, rises)
-        yield from rises.rows()
+        yield from flush(waiting)
 
-    def flush(waiting, rises):
+    def flush(waiting):
         while waiting:
             lang, texts = waiting.popitem()
-            yield from active_counts(Block(lang, texts), step, shards, tables.value, rises)
-            if rises.size > PENDING:
-                yield from rises.rows()
+            yield from active_counts(Block(lang, texts), step, shards, tables.value)
 
     return shard.select("lang", "text").mapInArrow(run, COUNTED)
 
 
-def slot_sums(rises: DataFrame, counters: int) -> DataFrame:
+def slot_sums(counted: DataFrame, counters: int) -> DataFrame:
     """Per size and range the counters that rose and by how much, at most to the threshold, packed.
 
-    A range's rows stream through one task, which holds one number for each of its counters.
+    A task packs the rises of its rows before they are shuffled; a range's rises stream through one task, which holds one number
+    for each of its counters.
     """
     width = max(counters >> RANGE_BITS, 1)
 
+    def pack(batches):
+        rises = Rises(counters)
+        for batch in batches:
+            size, slot, n = (batch.column(i).to_numpy() for i in range(3))
+            for one in np.unique(size):
+                own = size == one
+                rises.add(int(one), slot[own], n[own])
+            if rises.size > PENDING:
+                yield from rises.rows()
+        yield from rises.rows()
+
     def run(batches):
         totals: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
@@ -211,7 +212,8 @@ def slot_sums(rises: DataFrame, counters: int) -> DataFrame:
             packed = [(at + part * width).astype("<i4").tobytes(), own[at].astype(np.uint8).tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([size], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], names=["size", "slots", "n"])
 
-    return rises.select(*SLOTS).repartition("size", "range").mapInArrow(run, "size int, slots binary, n binary")
+    packed = counted.select("size", "slot", "n").mapInArrow(pack, "size int, range int, slots binary, sums binary")
+    return packed.repartition("size", "range").mapInArrow(run, "size int, slots binary, n binary")
 
 
 def in_full_counters(counted: DataFrame, sums: list[np.ndarray]) -> DataFrame:
@@ -250,9 +252,9 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", shard
     while step < last + shards:
         tables = spark.sparkContext.broadcast(reached)
         folder = f"{counts}/step={step}"
-        scan(table.filter(F.col("shard") == step % shards), step, shards, tables).write.option("compression", "zstd").parquet(folder)
+        scan(table.filter(F.col("shard") == step % shards), step, shards, tables).write.options(**WRITTEN).parquet(folder)
         counted = spark.read.schema(COUNTED).parquet(folder)
-        for size, slots, n in slot_sums(counted.filter("range IS NOT NULL"), counters).collect():
+        for size, slots, n in slot_sums(counted, counters).collect():
             at = np.frombuffer(slots, "<i4")
             sums[size - 1][at] = np.minimum(sums[size - 1][at] + np.frombuffer(n, np.uint8), THRESHOLD)
         tables.destroy()
@@ -263,7 +265,7 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", shard
             if new.any():
                 since[new], last = step, step
     release(table)
-    counted = spark.read.schema(COUNTED).parquet(counts).filter("range IS NULL").select(*PHRASE)
+    counted = spark.read.schema(COUNTED).parquet(counts)
     words = materialize(counted.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n")), "words")
     summed = in_full_counters(counted, sums).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return words, materialize(summed.filter(F.col("n") >= THRESHOLD), "frequent-phrases")
