@@ -28,6 +28,12 @@ def term_counts(df: DataFrame, key: str, text: str, min_length: int = 2) -> Data
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def inverse_document_frequency(counts: DataFrame, n: int) -> DataFrame:
+    """``term, idf``: ln((n + 1) / (texts with the term + 1)) of ``counts`` with one row per text and term."""
+    docs = counts.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    return docs.select("term", F.ln(F.lit(n + 1.0) / (F.col("docs") + 1)).alias("idf"))
+
+
 def vocabulary(counts: DataFrame, min_docs: int = 1) -> DataFrame:
     """Terms found in at least ``min_docs`` texts."""
     docs = counts.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))

@@ -5,18 +5,18 @@ from __future__ import annotations
 import json
 import warnings
 
-from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenframe.functions import scalars
-from lumenframe.functions.tokens import words
 from lumenframe.operators import models as M
 from lumenframe.operators import selection as Sel
 from lumenframe.operators import tuning
 from lumenframe.operators import wrappers as W
 from lumenframe.operators.metrics import binary_f1, classification_report, holdout_scores
 from lumenframe.operators.splits import holdout_hashed
+from lumenframe.operators.term_models import softmax_fit, softmax_predict
+from lumenframe.operators.text import inverse_document_frequency, term_counts
 from lumenframe.plans.features import SHAPE, doc_shape_scaled, texts
 from lumenframe.plans.prep import round_doubles
 from lumenframe.plans.registry import query
@@ -203,12 +203,13 @@ def text_classifier(spark, sf):
     label = scalars.category_code(scalars.cut_right(F.col("compound"), EDGES, LABELS), LABELS)
     classes = compounds(spark, sf).select("doc_id", label.cast("double").alias("label")).filter("label >= 0")
     docs = holdout_hashed(materialize(texts(spark, sf).join(classes, "doc_id"), "classed"), "doc_id", 70)
-    terms = M.vocabulary_list(docs.filter("part = 'train'").select(F.explode(words(F.col("text"))).alias("term")), "term")
-    rows = M.term_vectors(docs, "text", terms, ["doc_id", "label", "part"], 1).withColumnRenamed("features", "tf")
-    train, test = rows.filter("part = 'train'"), rows.filter("part = 'test'")
-    idf = IDF(inputCol="tf", outputCol="features").fit(train)
-    model = M.logistic(family="multinomial", maxIter=CLASSIFIER_ITERATIONS, regParam=0.01).fit(idf.transform(train))
-    if model.summary.totalIterations >= CLASSIFIER_ITERATIONS:
+    labels = docs.select("doc_id", "label", "part")
+    counts = materialize(term_counts(docs, "doc_id", "text", 1), "counts").join(labels.select("doc_id", "part"), "doc_id")
+    train = labels.filter("part = 'train'").select("doc_id", "label")
+    idf = materialize(inverse_document_frequency(counts.filter("part = 'train'"), train.count()), "idf")
+    values = counts.join(idf, "term").select("doc_id", "part", "term", (F.col("cnt") * F.col("idf")).alias("value"))
+    model = softmax_fit(values.filter("part = 'train'"), train, "doc_id", "label", 0.01, max_iter=CLASSIFIER_ITERATIONS)
+    if model.iterations >= CLASSIFIER_ITERATIONS:
         warnings.warn(f"classifier stopped after {CLASSIFIER_ITERATIONS} iterations", RuntimeWarning, stacklevel=2)
-    scored = model.transform(idf.transform(test)).select(F.col("label").cast("int").alias("t"), F.col("prediction").cast("int").alias("p"))
-    return round_doubles(classification_report(scored, "t", "p"))
+    scored = softmax_predict(model, values.filter("part = 'test'"), labels.filter("part = 'test'"), "doc_id")
+    return round_doubles(classification_report(scored.select(F.col("label").cast("int").alias("t"), F.col("prediction").cast("int").alias("p")), "t", "p"))

@@ -301,13 +301,19 @@ def test_classifiers_keep_their_size(points, spark, folder, monkeypatch):
     docs = spark.createDataFrame(spoken, "doc_id int, text string")
     monkeypatch.setattr(plans, "texts", lambda *_: docs)
     monkeypatch.setattr(plans, "compounds", lambda *_: docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, -0.9).otherwise(0.9).alias("compound")))
-    fitted, made, real = [], [], plans.IDF.fit
-    monkeypatch.setattr(plans.IDF, "fit", lambda self, df: fitted.append((df.count(), real(self, df))) or fitted[-1][1])
+    fitted, made, real = [], [], plans.softmax_fit
+
+    def fit(values, labels, *args, **kwargs):
+        fitted.append((labels.count(), real(values, labels, *args, **kwargs)))
+        return fitted[-1][1]
+
+    monkeypatch.setattr(plans, "softmax_fit", fit)
     with warnings.catch_warnings():
         warnings.simplefilter("error", RuntimeWarning)
         assert scores(spark, folder, "text_classifier")
-    n, idf = fitted[0]
-    assert idf.idf.size == n * 200 + 3 and sum(v > 0 for v in idf.idf.toArray()) == n * 200 + 2
+    n, model = fitted[0]
+    # "a" is in every text, so that its idf is 0
+    assert {"good", "bad"} <= (terms := {r["term"] for r in model.weights.collect()}) and "a" not in terms and len(terms) == n * 200 + 2
     rows = Mo.assemble(points, ["a", "b", "c"], "y", ["id"])
     monkeypatch.setattr(plans, "shape_parts", lambda *_: (rows, rows))
     monkeypatch.setattr(Mo, "forest", lambda trees, *a, real=Mo.forest: made.append(trees) or real(2, *a))
