@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumenframe.functions.tokens import raw_tokens, words
 from lumenframe.operators.position import with_position
@@ -77,14 +81,42 @@ def _looked_up(rows: DataFrame, pairs: DataFrame):
             return rows, lambda w: F.lit(None).cast(pairs.schema[1].dataType)
         known = F.create_map(*flat)
         return rows, lambda w: F.try_element_at(known, w)
-    row = F.struct("*")
-    keyed = rows.withColumn("_row", F.xxhash64(F.to_json(row)))
-    own = keyed.select("_row", F.explode(F.array_distinct("_t")).alias(word)).distinct()
-    met = own.join(materialize(pairs, "words"), word).groupBy("_row").agg(
-        F.map_from_entries(F.collect_set(F.struct(word, value))).alias("_map")
-    )
-    joined = keyed.join(met, "_row", "left").drop("_row")
-    return joined, lambda w: F.try_element_at("_map", w)
+    joined = _met(rows, pairs, word, value)
+    known = F.map_from_entries("_pairs")
+    return joined.withColumn("_map", known).drop("_pairs"), lambda w: F.try_element_at("_map", w)
+
+
+def _met(rows: DataFrame, pairs: DataFrame, word: str, value: str) -> DataFrame:
+    """``rows`` (.., _t) and ``_pairs``, the (word, value) of its different words in ``pairs``; null if there are none."""
+    keyed = rows.withColumn("_row", F.xxhash64(F.to_json(F.struct("*"))))
+    own = keyed.select("_row", F.explode(F.array_distinct("_t")).alias(word))
+    met = own.join(materialize(pairs, "words"), word).groupBy("_row").agg(F.collect_set(F.struct(word, value)).alias("_pairs"))
+    return keyed.join(met, "_row", "left").drop("_row")
+
+
+def _coded(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """``key, _c``: the id of each word of ``_t``, UNKNOWN where it has none. A text's words are found in one hash table."""
+    term, code = ids.columns
+    listed = ids.filter(F.col(term).isNotNull()).groupBy(term).agg(F.min(code).alias(code))
+    met = _met(rows, listed, term, code).select(key, "_t", F.col(f"_pairs.{term}").alias("_w"), F.col(f"_pairs.{code}").alias("_i"))
+
+    def one(words_: pa.ListScalar, known: pa.ListScalar, codes: pa.ListScalar) -> pa.Array:
+        if not words_.is_valid:
+            return pa.nulls(0, pa.int64())
+        if not known.is_valid:
+            return pa.array(np.full(len(words_.values), UNKNOWN), pa.int64())
+        at = pc.index_in(words_.values, value_set=known.values)
+        return pc.fill_null(pc.take(codes.values, at), UNKNOWN)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [one(*row) for row in zip(*[batch.column(i) for i in (1, 2, 3)])]
+            if found:
+                ends = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in found])]), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.concat_arrays(found))
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "_c"])
+
+    return met.mapInArrow(run, T.StructType([rows.schema[key], T.StructField("_c", T.ArrayType(T.LongType()))]))
 
 
 def sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, modifiers: DataFrame) -> DataFrame:
@@ -126,9 +158,7 @@ def encode_ids(df: DataFrame, key: str, text: str, ids: DataFrame, length: int =
     ids, and the text is coded where it lies, so that no token is shuffled.
     """
     room = length - 2
-    rows, code = _looked_up(df.select(key, words(F.col(text)).alias("_t")), ids.select("term", F.col("id").cast("long")))
-    codes = F.transform("_t", lambda w: F.coalesce(code(w), F.lit(UNKNOWN).cast("long")))
-    rows = rows.select(key, F.coalesce(codes, F.array().cast("array<bigint>")).alias("_c"))
+    rows = _coded(df.select(key, words(F.col(text)).alias("_t")), key, ids.select("term", F.col("id").cast("long").alias("id")))
     last = F.greatest(F.ceil(F.size("_c") / room), F.lit(1)) - 1
     rows = rows.select(key, "_c", F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("block"))
     real = F.concat(F.array(F.lit(START)), F.slice("_c", F.col("block") * room + 1, F.lit(room)), F.array(F.lit(END)))

@@ -279,3 +279,19 @@ def test_encode_ids(spark):
         (1, 1, [2, 1, 4, 3, 0], [1, 1, 1, 1, 0]),
         (2, 0, [2, 3, 0, 0, 0], [1, 1, 0, 0, 0]),
     ]
+
+
+def test_encode_ids_of_a_long_text(spark):
+    """60,000 different words in one text: their lookup is not a scan of all of them for each word."""
+    import time
+
+    from lumenframe.operators import text as T
+
+    long = " ".join(f"w{i}" for i in range(60000)) + " w5 new"
+    df = spark.createDataFrame([(1, long), (2, None), (3, "new")], "id int, t string")
+    ids = spark.createDataFrame([(f"w{i}", 10 + i) for i in range(60000)] + [(None, 7)], "term string, id long")
+    start = time.time()
+    rows = {(r.id, r.block): r.ids for r in T.encode_ids(df, "id", "t", ids, 1002).collect()}
+    assert time.time() - start < 40
+    assert len(rows) == 63 and rows[2, 0][:3] == [2, 3, 0] and rows[3, 0][:4] == [2, 1, 3, 0]
+    assert [i for b in range(61) for i in rows[1, b][1:1001]][:60004] == [*range(10, 60010), 15, 1, 3, 0]
