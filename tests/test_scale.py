@@ -247,3 +247,40 @@ def test_tree_edges(spark):
     assert [r["pred"] for r in pred.orderBy("x").collect()] == [0, 0, 0, 1]
     with pytest.raises(ValueError):
         trees.grow_tree(df, ["x"], "y", depth=31)
+
+
+def test_blocks_hold_neither_visits_nor_pairs(vectors):
+    """No vector is written or sent once per probe and cell, and a block of probes keeps m rows however many stream past."""
+    x, df = vectors
+    t = N._norm_step(df, "id", "vec", (), "euclid")
+    centers = N._choose_pivots(t, 12)
+    visits = N._visits(t, centers, np.full(12, 50), np.full(12, 1e9), 3, "euclid", 2)
+    assert visits.columns == ["_id", "_cell"] and visits.count() == 600 * 12
+    lists, _ = N.block_lists(df, df, 5, id_col="id", vec_col="vec", exclude_self=True, rows_per_block=64, pivots=12)
+    assert lists.count() == 600 and {len(r.dist) for r in lists.collect()} == {5}
+
+
+def test_probe_blocks_are_bounded():
+    counts = np.array([10, 500, 0, 30, 25, 40])
+    first, parts, total = N._probe_blocks(counts, np.arange(12.0).reshape(6, 2), 64)
+    assert parts[1] == 8 and total == 8 + 3
+    held = [sum(int(n) for n, f in zip(counts, first) if f == b and n <= 64) for b in range(total)]
+    assert max(held) <= 64 and sum(held) == 105
+
+
+def test_probe_and_train_keys_of_other_types(spark):
+    rows = [(2**60 + i, [float(i), 0.0], f"n{i}" if i else None) for i in range(9)]
+    train = spark.createDataFrame(rows, "id long, v array<float>, name string")
+    probe = train.selectExpr("concat('p', id) id", "v")
+    near = N.nearest(train, probe, 2, id_col="id", vec_col="v", carry=["name"]).collect()
+    assert len(near) == 18
+    got = {r.probe: (r.nb, r.name, r.dist) for r in near if r["rank"] == 1}
+    assert got == {f"p{i}": (i, n, 0.0) for i, _, n in rows}
+
+
+def test_hashed_keys_are_not_sent_whole(vectors):
+    """The exploded keys are joined by shuffles: no estimate of theirs decides on a broadcast by way of the driver."""
+    _, df = vectors
+    points = df.selectExpr("id AS _id", "cast(vec AS array<double>) AS _vec")
+    plan = N.candidate_pairs(points, points, 8, 4, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
