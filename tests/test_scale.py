@@ -284,3 +284,23 @@ def test_hashed_keys_are_not_sent_whole(vectors):
     points = df.selectExpr("id AS _id", "cast(vec AS array<double>) AS _vec")
     plan = N.candidate_pairs(points, points, 8, 4, 4)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_forward_steps_sum_no_former_directions(spark, monkeypatch):
+    """The aggregate over all counts has the same number of sums in every step."""
+    from lumenframe.operators import selection as S
+
+    seen = []
+    write = S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, tag="table": seen.append((tag, len(df.columns))) or write(df, tag))
+    rng = np.random.default_rng(8)
+    dense = rng.integers(0, 3, (60, 12))
+    counts = spark.createDataFrame([(int(i), f"t{j:02d}", int(dense[i, j])) for i, j in zip(*np.nonzero(dense))], "id int, term string, cnt long")
+    labels = spark.createDataFrame([(i, int(rng.integers(2))) for i in range(60)], "id int, q int")
+    steps = S.forward_terms(counts, labels, "id", F.col("q") == 1, 9).orderBy("step").collect()
+    assert {n for tag, n in seen if tag == "scores"} == {5} and len([1 for tag, _ in seen if tag == "scores"]) == 9
+    y = np.array([1.0 if r.q == 1 else -1.0 for r in labels.orderBy("id").collect()])
+    for step in range(1, 10):
+        x = np.column_stack([np.ones(60), *[dense[:, int(r.term[1:])] for r in steps[:step]]])
+        rest = y - x @ np.linalg.lstsq(x, y, rcond=None)[0]
+        assert steps[step - 1].r2 == pytest.approx(1 - rest @ rest / ((y - y.mean()) @ (y - y.mean())))
