@@ -70,6 +70,7 @@ def run_trials(
 ) -> list[tuple[dict, float, float]]:
     """(parameters, accuracy, score) per parameter set on one holdout; fits are parallel Spark jobs.
 
+    The rows of both parts are kept while the trials last, in memory as far as it goes, so that no trial scans and splits them again.
     ``metric(df, truth, pred)`` gives one row; its last column is the score to maximise.
     """
 
@@ -80,8 +81,13 @@ def run_trials(
         row = metric(scored, "label", "prediction").first()
         return params, row["accuracy"] if accuracy is None else accuracy, row[-1]
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(train.sparkSession)(run), trials))
+    kept = [df.persist() for df in (train, test) if not (df.storageLevel.useMemory or df.storageLevel.useDisk)]
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            return list(pool.map(inheritable_thread_target(train.sparkSession)(run), trials))
+    finally:
+        for df in kept:
+            df.unpersist()
 
 
 def best_trial(results: Sequence[tuple[dict, float, float]]) -> int:

@@ -253,6 +253,26 @@ def test_elimination_fits_end_by_tolerance(points, spark, folder, monkeypatch):
         assert W.rfe_select(rows, 3, 2) == [0, 1]
 
 
+def test_trials_scan_their_rows_once(points):
+    """Both parts are kept while the trials last and let go after them; what the caller keeps stays."""
+    rows = Mo.assemble(points, ["a", "b"], "y", ["id"])
+    train, test = rows.filter("id % 3 > 0"), rows.filter("id % 3 = 0").persist()
+    kept, want = [], [Mo.tree(d).fit(train).transform(test).filter("label = prediction").count() for d in (1, 2)]
+
+    class Probe:
+        def __init__(self, depth):
+            self.depth = depth
+
+        def fit(self, df):
+            kept.append(df.storageLevel.useMemory and test.storageLevel.useMemory)
+            return Mo.tree(self.depth).fit(df)
+
+    found = tuning.run_trials(train, test, Probe, [1, 2])
+    assert kept == [True, True] and [round(a * test.count() / 100) for _, a, _ in found] == want
+    assert not train.storageLevel.useMemory and test.storageLevel.useMemory
+    test.unpersist()
+
+
 def test_registered_searches_are_whole(points, spark, folder, monkeypatch):
     """100 trials, every depth that the estimators take and all forest sizes."""
     from lumenframe.plans import models as plans
