@@ -1,11 +1,12 @@
 """Phrase collocations by dynamic itemset counting.
 
-The rows are dealt into shards that are scanned in turn, round and round. Every word is counted from the first shard on. A longer
+The rows are dealt into shards that are scanned in turn, round and round. Every word is active from the first shard on. A longer
 phrase is active from the scan after both of its subphrases, without the last and without the first word, have reached the
-threshold, is counted from that shard on, and stops one full cycle later, so that each phrase meets each shard once and phrases of
-all lengths are counted in the same scans. Which phrases have reached the threshold is kept in a table of hashed counters whose
-size is bounded; phrases that share a counter can only be activated too early, which costs work and loses nothing. The exact
-counts are sums by the phrases themselves.
+threshold, raises its counter from that shard on, and stops one full cycle later, so that each phrase meets each shard once and
+phrases of all lengths are counted in the same scans. The counters are a table of hashed counters whose size is bounded; phrases that
+share a counter can only be activated too early, which costs work and loses nothing. From the scan after its counter has reached the
+threshold, a phrase is counted by itself for one full cycle. These exact counts are the result; phrases in counters that stay below
+the threshold are never written.
 """
 
 from __future__ import annotations
@@ -36,14 +37,12 @@ NEVER = 255
 ROWS = 1 << 16
 # A to Z become a to z, tabs spaces, and all that ends a piece a line end
 FOLDED = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Counters of a length are summed in this many ranges (as a power of two).
-RANGE_BITS = 6
+#: Counters of a length are summed in ranges of this many, so that two bytes tell them apart.
+RANGE = 1 << 16
 PENDING = 1 << 22
-#: Counters whose flags stand in one row when full ones are looked up.
-FLAGS = 1 << 16
-COUNTED = "lang string, size int, slot int, phrase string, n long"
-#: Counts are written with packed differences of ascending counters.
-WRITTEN = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
+COUNTED = "lang string, size int, phrase string, n long"
+#: Rows of a scan: exact counts (no words: all words of the language), or what a task adds to a range of counters.
+SCANNED = f"{COUNTED}, range int, slots binary, sums binary"
 
 
 def word_lanes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds: tuple[int, int]) -> list[np.ndarray]:
@@ -98,70 +97,88 @@ class Block:
         first = np.flatnonzero(new)
         return order[first], np.diff(np.append(first, len(order)))
 
-    def rows(self, size: int, slots: np.ndarray, first: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """The phrases that begin at ``first``, their counters and counts, in batches."""
+    def rows(self, size: int, first: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The phrases that begin at ``first`` and their counts, in batches."""
         for a in range(0, len(first), ROWS):
             at = first[a : a + ROWS]
             begin, end = self.starts[at], self.ends[at + size - 1]
             offsets = np.append(0, np.cumsum(end - begin))
             letters = self.raw[np.repeat(begin - offsets[:-1], end - begin) + np.arange(offsets[-1])]
             phrases = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(letters))
-            columns = [pa.repeat(self.lang, len(at)), pa.repeat(pa.scalar(size, pa.int32()), len(at)), pa.array(slots[a : a + ROWS])]
-            columns += [phrases, pa.array(n[a : a + ROWS], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "slot", "phrase", "n"])
+            yield self.counted(size, phrases, pa.array(n[a : a + ROWS], pa.int64()))
+
+    def total(self) -> pa.RecordBatch:
+        return self.counted(0, pa.array([""]), pa.array([len(self.starts)], pa.int64()))
+
+    def counted(self, size: int, phrases: pa.Array, n: pa.Array) -> pa.RecordBatch:
+        many = len(phrases)
+        columns = [pa.repeat(self.lang, many), pa.repeat(pa.scalar(size, pa.int32()), many), phrases, n]
+        return scanned(*columns, pa.nulls(many, pa.int32()), pa.nulls(many, pa.binary()), pa.nulls(many, pa.binary()))
+
+
+def scanned(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=["lang", "size", "phrase", "n", "range", "slots", "sums"])
 
 
 class Rises:
     """By how much a task raises the counters of each length: at most to the threshold, sent by ranges of counters."""
 
-    def __init__(self, counters: int):
-        self.shift = max(counters.bit_length() - 1 - RANGE_BITS, 0)
-        self.held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    def __init__(self):
+        self.held: dict[int, list[np.ndarray]] = {}
         self.size = 0
 
-    def add(self, size: int, slots: np.ndarray, n: np.ndarray) -> None:
-        self.held.setdefault(size, []).append((slots, np.minimum(n, THRESHOLD)))
-        self.size += len(slots)
+    def add(self, size: int, slots: np.ndarray) -> None:
+        slots = np.sort(slots)
+        first = np.flatnonzero(np.append(True, slots[1:] != slots[:-1])[: len(slots)])
+        n = np.minimum(np.diff(np.append(first, len(slots))), THRESHOLD).astype(np.uint32)
+        self.held.setdefault(size, []).append(slots[first] << np.uint32(5) | n)  # 24 bits of counter, 5 of a number up to 30
+        self.size += len(first)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         for size, parts in self.held.items():
-            slots, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(slots, kind="stable")
-            slots, n = slots[order], n[order]
-            first = np.flatnonzero(np.diff(slots, prepend=-1))
-            if len(first):
-                slots, n = slots[first], np.minimum(np.add.reduceat(n, first), THRESHOLD).astype(np.uint8)
-            cuts = np.flatnonzero(np.diff(slots >> self.shift, prepend=-1))
-            parts = [(int(slots[a] >> self.shift), slots[a:b], n[a:b]) for a, b in zip(cuts, [*cuts[1:], len(slots)], strict=True)]
-            columns = [pa.array([size] * len(parts), pa.int32()), pa.array([r for r, _, _ in parts], pa.int32())]
-            columns += [pa.array([p[i].tobytes() for p in parts], pa.binary()) for i in (1, 2)]
-            yield pa.RecordBatch.from_arrays(columns, names=["size", "range", "slots", "sums"])
+            both = np.sort(np.concatenate(parts))
+            slots, n = both >> np.uint32(5), both & np.uint32(31)
+            first = np.flatnonzero(np.append(True, slots[1:] != slots[:-1])[: len(slots)])
+            if not len(first):
+                continue
+            slots, n = slots[first], np.minimum(np.add.reduceat(n, first), THRESHOLD).astype(np.uint8)
+            ranges = slots // RANGE
+            cuts = np.append(np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])), len(slots))
+            steps = np.diff(slots, prepend=slots[:1]).astype(np.uint16)  # packs better than the counters themselves
+            steps[cuts[:-1]] = slots[cuts[:-1]] % RANGE
+            pairs = list(zip(cuts[:-1], cuts[1:], strict=True))
+            many = len(pairs)
+            columns = [pa.nulls(many, pa.string()), pa.array([size] * many, pa.int32()), pa.nulls(many, pa.string()), pa.nulls(many, pa.int64())]
+            columns.append(pa.array(ranges[cuts[:-1]], pa.int32()))
+            yield scanned(*columns, *(pa.array([x[a:b].tobytes() for a, b in pairs], pa.binary()) for x in (steps, n)))
         self.held, self.size = {}, 0
 
 
-def active_counts(block: Block, step: int, shards: int, reached: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Counts of the block's phrases that are in their cycle at ``step``.
+def active_counts(block: Block, step: int, shards: int, reached: list[np.ndarray], rises: Rises) -> Iterator[pa.RecordBatch]:
+    """Exact counts of the block's phrases that are in their cycle at ``step``; ``rises`` gets the phrases that raise their counters.
 
-    ``reached`` has for each counter the step from which its phrases may be part of longer ones.
+    ``reached`` has for each counter the step from which its phrases are counted by themselves. A phrase begins where both of
+    its subphrases do, and is counted by itself from there or from ``reached``, whichever is later.
     """
     bits = np.uint64(64 - len(reached[0]).bit_length() + 1)
-    starts = None
+    if step < shards and len(block.starts):
+        yield block.total()
+    since = None
     for size, hashes, whole in block.phrase_hashes():
-        if starts is None:
-            active = whole if step < shards else np.zeros(len(whole), bool)
-        else:
-            since = np.maximum(starts[:-1], starts[1:])
-            active = whole & (since <= step) & (since > step - shards)
-        first, n = block.grouped(size, hashes, np.flatnonzero(active))
-        yield from block.rows(size, (hashes[first] >> bits).astype(np.int32), first, n)
-        if size < LONGEST:
-            starts = reached[size - 1][hashes >> bits]
+        slots = (hashes >> bits).astype(np.uint32)
+        full = reached[size - 1][slots]
+        begun = np.zeros(len(slots), np.uint8) if since is None else np.maximum(since[:-1], since[1:])
+        rises.add(size, slots[whole & (full == NEVER) & (begun <= step) & (begun > step - shards)])
+        since = np.maximum(begun, full)
+        yield from block.rows(size, *block.grouped(size, hashes, np.flatnonzero(whole & (since <= step) & (since > step - shards))))
 
 
-def scan(shard: DataFrame, step: int, shards: int, tables) -> DataFrame:
-    """Partial counts of one shard's active phrases; ``tables`` is a broadcast of the counters' steps."""
+def scan(shard: DataFrame, step: int, shards: int, tables, counters: int) -> DataFrame:
+    """What one shard's active phrases add; ``tables`` is a broadcast of the counters' steps, packed."""
 
     def run(batches):
+        reached = [np.frombuffer(pa.decompress(t, counters, "zstd"), np.uint8) for t in tables.value]
+        rises = Rises()
         waiting: dict[str, list[bytes]] = {}
         held = 0
         for batch in batches:
@@ -169,72 +186,62 @@ def scan(shard: DataFrame, step: int, shards: int, tables) -> DataFrame:
                 waiting.setdefault(lang, []).append(text.as_buffer().to_pybytes())
                 held += len(waiting[lang][-1])
                 if held >= BLOCK:
-                    yield from flush(waiting)
+                    yield from flush(waiting, reached, rises)
                     waiting, held = {}, 0
-        yield from flush(waiting)
+        yield from flush(waiting, reached, rises)
+        yield from rises.rows()
 
-    def flush(waiting):
+    def flush(waiting, reached, rises):
         while waiting:
             lang, texts = waiting.popitem()
-            yield from active_counts(Block(lang, texts), step, shards, tables.value)
+            yield from active_counts(Block(lang, texts), step, shards, reached, rises)
+            if rises.size > PENDING:
+                yield from rises.rows()
 
-    return shard.select("lang", "text").mapInArrow(run, COUNTED)
+    return shard.select("lang", "text").mapInArrow(run, SCANNED)
 
 
-def slot_sums(counted: DataFrame, counters: int) -> DataFrame:
-    """Per size and range the counters that rose and by how much, at most to the threshold, packed.
+def raised(rows: DataFrame, before: DataFrame | None, counters: int) -> DataFrame:
+    """(size, range, sums, rose): the counters after a scan, at most at the threshold, and flags of those that just reached it.
 
-    A task packs the rises of its rows before they are shuffled; a range's rises stream through one task, which holds one number
-    for each of its counters.
+    A range's rises stream through one task, which holds one byte for each of its counters; a range without counters that just
+    reached the threshold has no flags.
     """
-    width = max(counters >> RANGE_BITS, 1)
-
-    def pack(batches):
-        rises = Rises(counters)
-        for batch in batches:
-            size, slot, n = (batch.column(i).to_numpy() for i in range(3))
-            for one in np.unique(size):
-                own = size == one
-                rises.add(int(one), slot[own], n[own])
-            if rises.size > PENDING:
-                yield from rises.rows()
-        yield from rises.rows()
+    width = min(counters, RANGE)
 
     def run(batches):
         totals: dict[tuple[int, int], np.ndarray] = {}
+        was: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for size, part, slots, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = totals.setdefault((size, part), np.zeros(width, np.int32))
-                at = np.frombuffer(slots, "<i4") - part * width
-                own[at] = np.minimum(own[at] + np.frombuffer(n, np.uint8), THRESHOLD)
-        for (size, part), own in totals.items():
-            at = np.flatnonzero(own)
-            packed = [(at + part * width).astype("<i4").tobytes(), own[at].astype(np.uint8).tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([size], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], names=["size", "slots", "n"])
+            for size, part, steps, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own, n = totals.setdefault((size, part), np.zeros(width, np.uint8)), np.frombuffer(n, np.uint8)
+                if steps is None:
+                    was[size, part] = n >= THRESHOLD
+                at = slice(None) if steps is None else np.cumsum(np.frombuffer(steps, np.uint16), dtype=np.int64)
+                own[at] = np.minimum(own[at] + n, THRESHOLD)
+        for key, own in totals.items():
+            rose = (own >= THRESHOLD) & ~was.get(key, False)
+            columns = [pa.array([x], pa.int32()) for x in key] + [pa.array([own.tobytes()], pa.binary())]
+            flags = np.packbits(rose).tobytes() if rose.any() else None
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([flags], pa.binary())], names=["size", "range", "sums", "rose"])
 
-    packed = counted.select("size", "slot", "n").mapInArrow(pack, "size int, range int, slots binary, sums binary")
-    return packed.repartition("size", "range").mapInArrow(run, "size int, slots binary, n binary")
+    rises = rows.filter("range IS NOT NULL").select("size", "range", "slots", "sums")
+    if before is not None:
+        rises = rises.unionByName(before.select("size", "range", F.lit(None).cast("binary").alias("slots"), "sums"))
+    return rises.repartition("size", "range").mapInArrow(run, "size int, range int, sums binary, rose binary")
 
 
-def in_full_counters(counted: DataFrame, sums: list[np.ndarray]) -> DataFrame:
-    """The partial counts of phrases whose counter reached the threshold; a phrase elsewhere cannot have.
-
-    The counters' flags are a table of at most 8 MB, 8 KB a row, which is broadcast.
-    """
-    flags = [np.packbits(s >= THRESHOLD, bitorder="little").tobytes() for s in sums]
-    step = FLAGS // 8
-    rows = [(size, at // step, bytearray(f[at : at + step])) for size, f in enumerate(flags, 1) for at in range(0, len(f), step)]
-    full = counted.sparkSession.createDataFrame(rows, "size int, part int, flags binary")
-    byte = f"CAST(conv(hex(substring(flags, ((slot & {FLAGS - 1}) DIV 8) + 1, 1)), 16, 10) AS BIGINT)"
-    placed = counted.withColumn("part", F.expr(f"CAST(slot DIV {FLAGS} AS INT)")).join(F.broadcast(full), ["size", "part"])
-    return placed.filter(F.expr(f"getbit({byte}, slot & 7) = 1")).select("lang", "size", "phrase", "n")
+def written(df: DataFrame, folder: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(lang, n): all words of each language, and (lang, size, phrase, n): words and phrases that occur 30 times or more.
 
-    Words come from lower-cased pieces between ``.,;:!?`` and line ends. A null lang is ``und``; a null text has no words. Only the
-    counters, at most 2^24 bytes for each length, pass through the driver.
+    Words come from lower-cased pieces between ``.,;:!?`` and line ends. A null lang is ``und``; a null text has no words. The
+    counters stay in the shared folder; a flag for each that has just reached the threshold comes to the driver, which holds and
+    sends the step of each, at most 2^24 bytes for each length. The exact counts of a scan are summed before the next one.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -246,29 +253,32 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", shard
     table = spark.read.schema("lang string, text string, size int, shard int").parquet(dealt)
     total = table.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
     counters = 1 << min(max((total // BYTES_A_COUNTER).bit_length(), FEWEST), MOST)
-    sums = [np.zeros(counters, np.uint8) for _ in range(LONGEST)]
-    reached = [np.full(counters, NEVER, np.uint8) for _ in range(LONGEST - 1)]
-    counts, step, last = fresh_path(spark, "phrase-counts"), 0, 0
+    width = min(counters, RANGE)
+    reached = [np.full(counters, NEVER, np.uint8) for _ in range(LONGEST)]
+    counts, state, step, last = fresh_path(spark, "phrase-counts"), None, 0, 0
     while step < last + shards:
-        tables = spark.sparkContext.broadcast(reached)
-        folder = f"{counts}/step={step}"
-        scan(table.filter(F.col("shard") == step % shards), step, shards, tables).write.options(**WRITTEN).parquet(folder)
-        counted = spark.read.schema(COUNTED).parquet(folder)
-        for size, slots, n in slot_sums(counted, counters).collect():
-            at = np.frombuffer(slots, "<i4")
-            sums[size - 1][at] = np.minimum(sums[size - 1][at] + np.frombuffer(n, np.uint8), THRESHOLD)
+        tables = spark.sparkContext.broadcast([pa.compress(r, "zstd", asbytes=True) for r in reached])
+        found = written(scan(table.filter(F.col("shard") == step % shards), step, shards, tables, counters), fresh_path(spark, "phrase-rows"))
         tables.destroy()
-        tidy(spark)  # shuffle files of this step
+        before, state = state, written(raised(found, state, counters), fresh_path(spark, "counters"))
+        exact = found.filter("range IS NULL").groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+        written(exact, f"{counts}/step={step}")
         step += 1
-        for table_sums, since in zip(sums, reached, strict=False):
-            new = (table_sums >= THRESHOLD) & (since == NEVER)
-            if new.any():
-                since[new], last = step, step
+        for size, part, rose in state.filter("rose IS NOT NULL").select("size", "range", "rose").collect():
+            flags = np.unpackbits(np.frombuffer(rose, np.uint8), count=width).view(bool)
+            reached[size - 1][part * width : (part + 1) * width][flags] = last = step
+        for used in (found, before):
+            if used is not None:
+                release(used)
+        tidy(spark)  # shuffle files of this step
     release(table)
+    release(state)
     counted = spark.read.schema(COUNTED).parquet(counts)
-    words = materialize(counted.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n")), "words")
-    summed = in_full_counters(counted, sums).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return words, materialize(summed.filter(F.col("n") >= THRESHOLD), "frequent-phrases")
+    words = materialize(counted.filter("size = 0").groupBy("lang").agg(F.sum("n").alias("n")), "words")
+    summed = counted.filter("size > 0").groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    frequent = materialize(summed.filter(F.col("n") >= THRESHOLD), "frequent-phrases")
+    release(counted)
+    return words, frequent
 
 
 def _joined(words, start, size):

@@ -9,8 +9,10 @@ import zlib
 from collections import Counter
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from lumenframe.llm import counts, phrases, resample
 from lumenframe.llm.common import read_tokenizer
@@ -141,6 +143,36 @@ def test_phrases_reached_late_meet_every_shard_once(spark):
     assert got["one two three four"] == 30 and got["two three"] == 30
 
 
+def test_phrases_below_the_threshold_are_not_written(spark, monkeypatch):
+    """Working tables hold counts of frequent phrases alone, summed, and the driver gets flags but no sums of the counters."""
+    rows = [("en", " ".join(f"w{i}x{j}" for j in range(40)) + ". to be or not") for i in range(200)]
+    tables, sent, collect = [], [], DataFrame.collect
+    write, wide = phrases.written, lambda r: sum(len(x) for x in r if isinstance(x, bytes | bytearray))
+    monkeypatch.setattr(phrases, "written", lambda df, folder: tables.append(write(df, folder)) or tables[-1])
+    monkeypatch.setattr(phrases, "release", lambda df: None)
+    monkeypatch.setattr(DataFrame, "collect", lambda df: sent.append(collect(df)) or sent[-1])
+    _, frequent = phrases.count_phrases(spark.createDataFrame(rows, "lang string, text string").repartition(3))
+    assert {r.phrase: r.n for r in collect(frequent.filter("size > 2"))} == {"to be or": 200, "be or not": 200, "to be or not": 200}
+    names = {r.phrase for t in tables if "phrase" in t.columns for r in collect(t.filter("size > 0 AND phrase IS NOT NULL"))}
+    assert names == {" ".join("to be or not".split()[a:b]) for a in range(4) for b in range(a + 1, 5)}
+    assert len(sent) > 4 and max(sum(map(wide, rows)) for rows in sent) <= phrases.LONGEST * (1 << 16) // 8
+
+
+def test_rises_keep_their_counters_and_sums():
+    rng = np.random.default_rng(1)
+    drawn = rng.integers(0, 1 << 24, 50_000, dtype=np.uint32)
+    drawn = np.concatenate([drawn, drawn[:100].repeat(40), np.uint32([0, 0, (1 << 24) - 1])])
+    rises = phrases.Rises()
+    for part in np.array_split(drawn, 3):
+        rises.add(2, part)
+    got = {}
+    for batch in rises.rows():
+        for r in batch.to_pylist():
+            at = np.cumsum(np.frombuffer(r["slots"], np.uint16), dtype=np.int64) + r["range"] * phrases.RANGE
+            got |= dict(zip(at.tolist(), np.frombuffer(r["sums"], np.uint8).tolist(), strict=True))
+    assert got == {k: min(v, 30) for k, v in Counter(drawn.tolist()).items()} and list(rises.rows()) == []
+
+
 def test_collocations_of_nothing(spark):
     for rows in ([], [("en", None)], [("en", "a b c")]):
         assert phrases.collocations(spark.createDataFrame(rows, "lang string, text string")).count() == 0
