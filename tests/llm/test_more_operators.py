@@ -208,6 +208,28 @@ def test_shared_substrings_go_where_no_article_is_named(spark, partitions):
         assert {r.page_id: r.text for r in got} == {r[0]: r[3] for r in rows}
 
 
+def test_blocks_in_doubt_are_decided_by_the_host(spark, partitions):
+    """Inside an article, a header or result block that a host's pages share goes whole, also a short one; the article's own stay whole."""
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(1000)}" for _ in range(n))
+    notice, site, result = text(30), text(3), text(12)
+    rows = []
+    for i in range(6):
+        own = [text(4), f"{notice} {text(3)}", text(40), f"{text(2)} {result}", notice]
+        marks = f"<div class=header><h1>{own[0]}</h1></div><div class=header>{site}</div><div class='search-results'>{own[1]}</div>"
+        page = f"<article>{marks}<p>{own[2]}</p><div id=search-result>{notice}</div><div class=search-form>{text(9)}</div><div class=search-results>{own[3]}</div><p>{own[4]}</p></article>"
+        rows.append((i, f"http://a.org/{i}", page, own))
+    for i in range(6, 8):  # two pages of a host, and one whose copies count once
+        rows.append((i, f"http://b.org/{i}", f"<article><div class=header>{site}</div><p>{i} {notice}</p></article>", [site, f"{i} {notice}"]))
+    own = text(300)
+    rows += [(i, f"http://c.org/{i}", f"<article><div class=header>{site}</div><p>{own}</p></article>", [site, own]) for i in range(8, 12)]
+    rows.append((12, "http://a.org/12", f"<p>{notice}</p>", [notice]))
+    rows.append((13, "http://a.org/13", f"<div class=header>{site}</div><main><div class=header>{site}</div>x</main>", ["x"]))
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    for got in partitions(lambda: html.extract(df).collect(), (1, 5)):
+        assert {r.page_id: r.text for r in got} == {r[0]: "\n\n".join(r[3]) for r in rows}
+
+
 def brute_mix_sql(rows):
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
