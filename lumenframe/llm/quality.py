@@ -118,7 +118,8 @@ def judge(df: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str =
         total = F.aggregate(grams, total, lambda s, h: s + F.element_at(table, bucket(h) + 1))
     failed = (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     rows = rows.withColumn("base_failed", failed).withColumn("__total", total)
-    size = F.size("__ones") + F.size("__twos")
+    # a long: THRESHOLD times the n-grams of a text of 21,475 words is beyond an int, which raises
+    size = (F.size("__ones") + F.size("__twos")).cast("long")
     rows = rows.withColumn("score", F.when(size > 0, F.col("__total") / size))
     kept = ~F.col("base_failed") & (F.col("__total") >= size * THRESHOLD)
     rows = rows.withColumn("kept", kept)

@@ -96,6 +96,16 @@ def test_quality_equals_brute_force(spark, documents, corpus):
         assert got == {i: w for (i, _), w in zip(rows, brute_quality(rows, trusted), strict=True)}
 
 
+def test_quality_of_a_long_text(spark, documents):
+    """The threshold times the n-grams of a text of over 21,474 words is beyond an int."""
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(3000, size=n))) for i, n in enumerate((30, 21_474, 21_475, 60_000))]
+    ids = spark.createDataFrame([(0,), (2,)], "doc_id long")
+    got = {r.doc_id: (r.n_words, r.base_failed, r.kept) for r in quality.judge(documents(rows), ids).collect()}
+    want = brute_quality(rows, {0, 2})
+    assert got == {i: (w[0], *w[-2:]) for (i, _), w in zip(rows, want, strict=True)}
+
+
 @pytest.mark.parametrize("name", ["jaccard", "spans", "quality"])
 def test_empty_table_and_clashing_columns(spark, name):
     run = {
