@@ -286,6 +286,21 @@ def test_hashed_keys_are_not_sent_whole(vectors):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_pairs_are_met_in_blocks_and_shuffle_vectors_alone(spark, vectors, monkeypatch):
+    """Blocks of train rows meet the pairs of the joined keys; neither keys nor pairs that are too far are shuffled."""
+    _, df = vectors
+    points = df.selectExpr("id AS _id", "cast(vec AS array<double>) AS _vec")
+    monkeypatch.setattr(N, "TRAIN_BLOCK", 100)
+    want = {tuple(r) for r in N.candidate_pairs(points, points, 8, 4, 4).collect()}
+    for most in (1 << 24, 16):  # with and without a place for each bucket
+        monkeypatch.setattr(N, "MAX_BUCKETS", most)
+        got = [(r.probe, r.nb) for r in N.met_pairs(points, points, None, 8, 4, 4).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < points.count() ** 2
+    near = N.approximate_join(df, df, 0.5, id_col="id", vec_col="vec", bits=8, tables=4, probes=4)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "_table" not in plan and "_key" not in plan
+
+
 def test_forward_steps_sum_no_former_directions(spark, monkeypatch):
     """The aggregate over all counts has the same number of sums in every step."""
     from lumenframe.operators import selection as S
