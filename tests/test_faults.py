@@ -99,6 +99,22 @@ def test_sweep_equals_single_votes(spark):
             assert {r.probe: r.pred for r in swept if r.k == k} == one
 
 
+def test_sweep_counts_equal_its_votes_and_leave_no_row_per_vote(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=3).tolist(), int(rng.integers(3)), "ab"[i % 2] if i % 7 else None) for i in range(90)]
+    rows = spark.createDataFrame(rows + [(i, rows[5][1], 2, "a") for i in range(90, 110)], "id int, v array<double>, label int, part string")
+    train = rows.filter("id % 4 > 0")
+    for kernel in ("gaussian", "epanechnikov"):
+        lists = neighbors.nearest_lists(train, rows, 100, id_col="id", vec_col="v", carry=["label"])
+        swept = neighbors.sweep_k(lists, label="label", kernel=kernel, k_max=99, lowest=F.lit(1))
+        held = swept.join(rows.selectExpr("id AS probe", "label", "part"), "probe").groupBy("part", "k")
+        want = {(r.part, r.k): (r.hits, r.n) for r in held.agg(F.sum((F.col("pred") == F.col("label")).cast("int")).alias("hits"), F.count("k").alias("n")).collect()}
+        made = neighbors.sweep_hits(train, rows, id_col="id", vec_col="v", label="label", kernel=kernel, k_max=99, keys=["part"], lowest=1)
+        assert {(r.part, r.k): (r.hits, r.probes) for r in made.collect()} == want and len(want) > 200
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan.split("MapInArrow")[0] and "RoundRobin" not in plan
+
+
 def test_blocks_return_few_more_rows_than_wanted(spark):
     """However many blocks a probe meets, the second pass returns less than 2 m rows for it."""
     rng = np.random.default_rng(9)
