@@ -45,6 +45,18 @@ def test_stages_on_empty_documents(spark, folder):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == 0
 
 
+def test_first_stage_takes_a_long_text(spark, folder):
+    """A text of over 21,474 words, which is kept, does not end the pipeline's first stage."""
+    text = " ".join(f"w{x}" for x in np.random.default_rng(9).integers(3000, size=25_000))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    one = spark.createDataFrame([(10**9, text, "en", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.unionByName(one.select(*docs.columns))
+    got = {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, docs, folder).collect()}
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    trusted = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r.quality == 1 and r.toxic == 0}
+    assert got == {i for (i, _), q in zip(rows, quality(rows, trusted), strict=True) if q[-1]}
+
+
 def test_all_eleven_are_registered():
     names = entry.queries()
     for n in range(1, 11):
